@@ -13,8 +13,12 @@ def to_number(c, dtype="double"):
 
 
 def to_whole(c):
-    """Text to int, decimals cut off; anything else is NULL."""
-    return F.regexp_extract(text(c), WHOLE_NUMBER, 1).try_cast("int")
+    """Text to int, decimals cut off; anything else is NULL.
+
+    The pattern keeps bad text away from the cast, which would raise and catch an error per value.
+    """
+    digits = F.regexp_extract(text(c), WHOLE_NUMBER, 1)
+    return F.nullif(digits, F.lit("")).try_cast("int")
 
 
 def money(c, dtype="float"):

@@ -1,7 +1,8 @@
-"""Boolean column builders. Each one accepts a column name or a Column."""
+"""Boolean column builders. Each one accepts a column name or a Column unless it says otherwise.
 
-from functools import reduce
-from operator import or_
+Building a Column takes a call to the JVM per step. Where a table is wide or a word list long, the
+builders here write one SQL expression instead.
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,14 +11,20 @@ from tabq.functions import patterns
 
 
 def as_column(c):
-    return c if isinstance(c, Column) else F.col(_quoted(c))
+    return c if isinstance(c, Column) else F.col(quoted(c))
 
 
-def _quoted(name):
+def quoted(name):
     """Protect names such as ``hours-per-week``; an already quoted name is kept."""
     return name if name.startswith("`") else f"`{name}`"
 
 
+def literal(value):
+    """A text literal for a SQL expression."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def text(c):
     """The value as text. Emptiness is decided on this, so that typed columns survive ANSI mode."""
     return as_column(c).cast("string")
@@ -29,6 +36,12 @@ def is_empty(c):
     return t.isNull() | (t == "") | t.rlike(patterns.EMPTY_TAIL)
 
 
+def is_empty_sql(name):
+    """``is_empty`` of a named column as SQL text."""
+    t = f"CAST({quoted(name)} AS STRING)"
+    return f"({t} IS NULL OR {t} = '' OR {t} RLIKE {literal(patterns.EMPTY_TAIL)})"
+
+
 def is_blank(c):
     """NULL, the empty text, or text with a tab or blank anywhere in it."""
     t = text(c)
@@ -60,10 +73,9 @@ def outside(c, low, high):
     return (c < low) | (c > high)
 
 
-def contains_any(c, words):
-    """True if any word occurs literally; NULL stays NULL."""
-    t = text(c)
-    return reduce(or_, [t.contains(w) for w in words])
+def contains_any(name, words):
+    """True if any word occurs literally in the named text column; NULL stays NULL."""
+    return F.expr(" OR ".join(f"contains({quoted(name)}, {literal(w)})" for w in words))
 
 
 def first_char(c):

@@ -15,9 +15,9 @@ def captured(c, pattern):
     return F.upper(F.regexp_extract(text(c), "(?i)" + pattern, 1))
 
 
-def known_or(c, keywords, label="M"):
+def known_or(name, keywords, label="M"):
     """The value itself if it holds one of the keywords, else the label (also for NULL)."""
-    return F.when(contains_any(c, keywords), text(c)).otherwise(F.lit(label))
+    return F.when(contains_any(name, keywords), text(name)).otherwise(F.lit(label))
 
 
 def occurrences_json(*columns, sep=","):

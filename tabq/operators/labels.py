@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tabq.functions.predicates import text
+from tabq.functions.predicates import is_empty, text
 
 
 class Rule:
@@ -32,13 +32,17 @@ class Rule:
         self._default = F.lit(label)
         return self
 
+    def expression(self, sql):
+        """The whole rule as one SQL expression, for rules that repeat over many columns."""
+        self._default = F.expr(sql)
+        return self
+
     def column(self):
-        ladder = self._ladder
-        if ladder is None:
-            return self._default.alias(self.output)
-        if self._default is not None:
-            ladder = ladder.otherwise(self._default)
-        return ladder.alias(self.output)
+        if self._ladder is None:
+            return self._default
+        if self._default is None:
+            return self._ladder
+        return self._ladder.otherwise(self._default)
 
 
 def label(df, rules):
@@ -48,6 +52,4 @@ def label(df, rules):
 
 def backfill(df, column, value="M"):
     """Replace missing labels; a second pass because it reads a label column."""
-    from tabq.functions.predicates import is_empty
-
     return df.withColumn(column, F.when(is_empty(column), F.lit(value)).otherwise(text(column)))

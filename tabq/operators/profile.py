@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tabq.functions.predicates import as_column, text
+from tabq.functions.predicates import as_column, literal, quoted
 from tabq.functions.strings import occurrences_json
 from tabq.operators.groups import top
 
@@ -15,30 +15,33 @@ def label_columns(df):
 
 
 def label_counts(df, labels=LABELS, columns=None, weight=None, start=0):
-    """(label, column, position, n): exact matches per label and column, in one aggregation.
+    """(label, column, position, n): exact matches for every label and column, zeros included.
 
     With ``weight`` each row counts as that many. Positions are numbered from ``start``.
     """
     columns = df.columns if columns is None else columns
-    cells = [(l, c, i) for i, c in enumerate(columns, start) for l in labels]
-
-    def counted(l, c):
-        match = text(c) == l
-        if weight is None:
-            return F.count_if(match)
-        return F.coalesce(F.sum(F.when(match, F.col(weight))), F.lit(0))
-
-    wide = df.agg(*[counted(l, c).alias(f"n{k}") for k, (l, c, _) in enumerate(cells)])
-    rows = [
-        F.struct(
-            F.lit(l).alias("label"),
-            F.lit(c).alias("column"),
-            F.lit(i).alias("position"),
-            F.col(f"n{k}").alias("n"),
-        )
-        for k, (l, c, i) in enumerate(cells)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+    held = _can_hold(df, columns, labels)
+    counts = (
+        melt(df, held, weight)
+        .filter(F.col("value").isin(list(labels)))
+        .groupBy("place", F.col("value").alias("label"))
+        .agg(F.sum("weight").alias("found"))
+        .select(name_of(held), "label", "found")
+    )
+    cells = ", ".join(
+        f"({literal(l)}, {literal(c)}, {i})" for i, c in enumerate(columns, start) for l in labels
+    )
+    grid = df.sparkSession.sql(f"SELECT * FROM VALUES {cells} AS cells(label, column, position)")
+    n = F.coalesce("found", F.lit(0).cast("bigint")).alias("n")
+    return grid.join(counts, ["label", "column"], "left").select("label", "column", "position", n)
+
+
+def _can_hold(df, columns, labels):
+    """Leave out numbers if all labels are single letters, which no number is written as."""
+    if not all(len(l) == 1 and l.isalpha() for l in labels):
+        return columns
+    types = dict(df.dtypes)
+    return [c for c in columns if types[c] == "string"]
 
 
 def star_label_counts(star, labels=LABELS, only_labels=False):
@@ -62,24 +65,37 @@ def worst_column(counts, label):
 
 
 def melt(df, columns, weight=None):
-    """(column, value, weight) rows of the named columns, values as text."""
-    values = [text(c).alias(c) for c in columns]
-    rows = F.lit(1) if weight is None else F.col(weight)
-    wide = df.select(*values, rows.cast("bigint").alias("weight"))
-    return wide.unpivot("weight", columns, "column", "value")
+    """(place, value, weight) rows of the named columns, values as text.
+
+    ``place`` is the index in ``columns``; ``name_of`` turns it into the name after grouping, so
+    that no names are carried through the aggregation.
+    """
+    values = ", ".join(f"CAST({quoted(c)} AS STRING)" for c in columns)
+    rows = "1" if weight is None else quoted(weight)
+    return df.selectExpr(
+        f"posexplode(array({values})) AS (place, value)", f"CAST({rows} AS BIGINT) AS weight"
+    )
+
+
+def name_of(columns):
+    names = ", ".join(literal(c) for c in columns)
+    return F.expr(f"element_at(array({names}), place + 1) AS column")
 
 
 def frequency(df, columns=None):
     """How often each value occurs in each label column."""
     columns = label_columns(df) if columns is None else columns
-    return melt(df, columns).groupBy("column", "value").agg(F.sum("weight").alias("n"))
+    counts = melt(df, columns).groupBy("place", "value").agg(F.sum("weight").alias("n"))
+    return counts.select(name_of(columns), "value", "n")
 
 
 def starts_with_own_name(df, columns=None, weight=None):
     """Per label column: rows by whether the value starts with the column's own name."""
     columns = label_columns(df) if columns is None else columns
+    own = melt(df, columns, weight).select("*", name_of(columns))
     starts = F.startswith(F.col("value"), F.col("column")).alias("starts")
-    return melt(df, columns, weight).groupBy("column", starts).agg(F.sum("weight").alias("n"))
+    counts = own.groupBy("place", starts).agg(F.sum("weight").alias("n"))
+    return counts.select(name_of(columns), "starts", "n")
 
 
 def star_starts_with_own_name(star):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 
 def prefixed(df, prefix):
-    return df.select([F.col(f"`{c}`").alias(prefix + c) for c in df.columns])
+    return df.toDF(*[prefix + c for c in df.columns])
 
 
 @dataclass(frozen=True)

@@ -65,7 +65,7 @@ class Analogue:
         for table in self._needed(columns):
             other, left, right = self.joins[table]
             df = df.join(tables(table), F.col(left) == F.col(right))
-        return df.select([F.expr(self.columns[c][0]).alias(c) for c in columns])
+        return df.selectExpr([f"{self.columns[c][0]} AS `{c}`" for c in columns])
 
     def sql(self):
         """The whole table as ANSI SQL."""

@@ -5,7 +5,14 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from tabq.functions.convert import date_time, money, quantity, to_number
-from tabq.functions.predicates import as_column, contains_any, is_empty, text
+from tabq.functions.predicates import (
+    as_column,
+    contains_any,
+    is_empty,
+    is_empty_sql,
+    quoted,
+    text,
+)
 from tabq.operators.labels import label
 from tabq.plans.rules import communities, retail
 
@@ -65,12 +72,11 @@ def region(df):
     )
 
 
-def classify(c, classes, default=NO_CLASS):
-    """First class with one of its words in the text."""
-    c = as_column(c)
+def classify(column, classes, default=NO_CLASS):
+    """First class with one of its words in the named text column."""
     ladder = F
     for name, words in classes:
-        ladder = ladder.when(contains_any(c, words), name)
+        ladder = ladder.when(contains_any(column, words), name)
     return ladder.otherwise(default)
 
 
@@ -200,12 +206,13 @@ def type_all(df, keep=("communityname",), dtype="double"):
     """
 
     def typed(c):
+        name = quoted(c)
         if c in keep or c.startswith("qa_"):
-            return as_column(c)
-        usable = ~is_empty(c) & (text(c) != "?")
-        return F.when(usable, to_number(c, dtype)).alias(c)
+            return name
+        usable = f"NOT {is_empty_sql(c)} AND {name} != '?'"
+        return f"CASE WHEN {usable} THEN TRY_CAST({name} AS {dtype}) END AS {name}"
 
-    return df.select([typed(c) for c in df.columns])
+    return df.selectExpr([typed(c) for c in df.columns])
 
 
 def clean_places(df, dtype="double"):

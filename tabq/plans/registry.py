@@ -439,7 +439,7 @@ def _(s):
         F.hour(day).alias("hour"),
         F.ceil(price).alias("up"),
         F.round(price).alias("nearest"),
-        F.round(F.try_divide(price, "Quantity"), 4).alias("each"),
+        F.round(F.try_divide("Quantity", F.length("StockCode")), 4).alias("share"),
         predicates.as_column("StockCode").try_cast("int").alias("code"),
     )
 
@@ -582,6 +582,22 @@ RETAIL_COLUMNS = {
     "rq12": ["InvoiceNo", "Quantity"],
     "rq13": ["CustomerID"],
 }
+# Columns each communities report reads.
+PLACE = ["state", "communityname"]
+COMMUNITY_COLUMNS = {
+    "mq01": [*PLACE, "PolicOperBudg"],
+    "mq02": [*PLACE, "community", "ViolentCrimesPerPop"],
+    "mq03": [*PLACE, "population"],
+    "mq04": [*PLACE, "population", "racepctblack"],
+    "mq05": [*PLACE, "pctWWage"],
+    "mq06": [*PLACE, "agePct12t21", "agePct16t24"],
+    "mq07": ["PolicOperBudg", "ViolentCrimesPerPop"],
+    "mq08": ["PctPolicWhite", "PolicOperBudg"],
+    "mq09": ["population", "PolicBudgPerPop"],
+    "mq10": ["population", "ViolentCrimesPerPop"],
+    "mq11": ["medIncome", "ViolentCrimesPerPop"],
+    "mq12": [*PLACE, "population", "ViolentCrimesPerPop", *cleaning.RACE_SHARES.values()],
+}
 ROUNDED = {"cq03": ["ratio"], "cq04": ["ratio"], "cq10": ["ratio"], "cq15": ["ratio"],
            "rq11": ["greatest_amount"], "fr03": ["avg_arr_delay", "avg_dep_delay"],
            **{f"mq{i:02}": ["corr"] for i in range(7, 12)},
@@ -603,7 +619,9 @@ def _census(key, **options):
 
 
 def _community(key, **options):
-    return lambda s: _finished(key, communities.REPORTS[key](s.typed_places(), **options))
+    return lambda s: _finished(
+        key, communities.REPORTS[key](s.typed_places(*COMMUNITY_COLUMNS[key]), **options)
+    )
 
 
 def _flight(key, **options):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tabq.functions.predicates import contains_any
 from tabq.operators.groups import mode_of_counts, mode_per_group, ranked, ratio, top
-from tabq.operators.profile import melt
+from tabq.operators.profile import melt, name_of
 from tabq.plans.cleaning import married, self_employed
 
 
@@ -79,7 +79,8 @@ def cq09_self_employed_profile(people):
 def cq09_self_employed_modes(people):
     """The most frequent education, race and sex, each on its own."""
     own = people.filter(contains_any("workclass", ["Self-emp-not-inc", "Self-emp-inc"]))
-    return mode_per_group(melt(own, ["education", "race", "sex"]), "column", "value")
+    columns = ["education", "race", "sex"]
+    return mode_per_group(melt(own, columns), "place", "value").select(name_of(columns), "value")
 
 
 def cq10_married_per_unmarried(people):

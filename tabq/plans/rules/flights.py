@@ -44,7 +44,7 @@ def calendar_date():
 
 def _piece(c, start, size):
     """Part of a number's text, as a number again; NULL when nothing is left."""
-    return F.substring(c, start, size).try_cast("int")
+    return F.nullif(F.substring(c, start, size), F.lit("")).try_cast("int")
 
 
 def hour_minute(variant):

@@ -81,13 +81,13 @@ def manufacturer(variant):
     maker = text("manufacturer")
     rule = Rule("QA-P4", "qa_manufacturer")
     if variant == "rdd":
-        return rule.keep(known_or(maker, MANUFACTURERS))
+        return rule.keep(known_or("manufacturer", MANUFACTURERS))
     if variant == "sql":
         unknown = not_in(maker, MANUFACTURERS_SQL)
     elif variant == "intended":
-        unknown = ~contains_any(maker, MANUFACTURERS)
+        unknown = ~contains_any("manufacturer", MANUFACTURERS)
     else:
-        unknown = contains_any(maker, [m + "%" for m in MANUFACTURERS])
+        unknown = contains_any("manufacturer", [m + "%" for m in MANUFACTURERS])
     return rule.when(is_missing(maker), "M").when(unknown, "C").keep(maker)
 
 
@@ -139,7 +139,7 @@ def engine(variant):
     if variant == "sql":
         unknown = not_in(kind, ENGINES)
     elif variant == "intended":
-        unknown = ~contains_any(kind, ENGINE_KEYWORDS)
+        unknown = ~contains_any("engine", ENGINE_KEYWORDS)
     else:
-        unknown = contains_any(kind, [k + "%" for k in ENGINE_KEYWORDS])
+        unknown = contains_any("engine", [k + "%" for k in ENGINE_KEYWORDS])
     return Rule("QA-P9", "qa_engine").when(is_missing(kind), "M").when(unknown, "C").keep(kind)
