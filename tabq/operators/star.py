@@ -5,6 +5,7 @@ No join carries a broadcast hint: Catalyst broadcasts a dimension only if its si
 """
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,14 @@ class Dimension:
     foreign_key: str
     key: str
 
+    @cached_property
+    def is_small(self):
+        """Whether the optimizer's size estimate is below the session's broadcast threshold."""
+        session = self.table._jdf.sparkSession()
+        limit = session.sessionState().conf().autoBroadcastJoinThreshold()
+        plan = self.table._jdf.queryExecution().optimizedPlan()
+        return int(str(plan.stats().sizeInBytes())) <= limit
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -74,13 +83,16 @@ class Star:
         keys = self.fact.select(*[d.foreign_key for d in dims]).distinct()
         return Star(keys, dims).join()
 
-    def aggregate(self, by, measures, where=None):
-        """Group by fact and dimension columns, reducing the fact before it meets a dimension.
+    def aggregate(self, by, measures, where=None, reduce_first=None):
+        """Group by fact and dimension columns; dimensions no output needs are not joined.
+
+        ``by`` maps output names to a column name or, for fact columns, an expression.
 
-        ``by`` maps output names to a column name or, for fact columns, an expression. The fact is
-        first summed up per foreign key, on the map side too, so the joins see one row per key and
-        a key that holds a large part of all rows (or NULL) is as light as any other. Dimensions
-        no output needs are not joined.
+        If all dimensions are small enough to be broadcast, they are joined in place and the fact
+        is shuffled once, after partial aggregation. Otherwise the fact is first summed up per
+        foreign key, on the map side too, so the joins see one row per key and a key that holds a
+        large part of all rows (or NULL) is as light as any other. ``reduce_first`` overrules the
+        choice.
         """
         fact = self.fact if where is None else self.fact.filter(where)
         wanted = [c for c in by.values() if isinstance(c, str)]
@@ -96,6 +108,15 @@ class Star:
         fact_columns = sorted(
             {m.column for m in measures.values() if m.column and m.column not in on_dims}
         )
+        if reduce_first is None:
+            reduce_first = not all(d.is_small for d in dims)
+        if dims and not reduce_first:
+            joined = Star(fact, dims).join()
+            groups = [(local[n] if n in local else F.col(c)).alias(n) for n, c in by.items()]
+            return joined.groupBy(*groups).agg(
+                *[_direct(m).alias(name) for name, m in measures.items()]
+            )
+
         keys = list(dict.fromkeys(d.foreign_key for d in dims))
         groups = [c.alias(name) for name, c in local.items()] + [F.col(k) for k in keys]
         parts = [F.count(F.lit(1)).alias("_rows")]
@@ -127,6 +148,13 @@ class Star:
         return [self.dimensions[p] for p in prefixes or self.dimensions]
 
 
+def _direct(m):
+    """A measure over plain rows."""
+    if m.kind == "count":
+        return F.count(F.lit(1))
+    return {"sum": F.sum, "avg": F.avg}[m.kind](m.column)
+
+
 def _read(m):
     """A measure from the parts of its one group."""
     if m.kind == "count":

@@ -38,13 +38,13 @@ NO_CLASS = "NaN"
 # Airports ---------------------------------------------------------------------------------------
 
 
-def clamp_altitude(df, mode="text"):
-    """Raise negative altitudes to 0. In text mode empty values become M, else they stay NULL."""
+def clamp_altitude(df, mode="text", empty="M"):
+    """Raise negative altitudes to 0. In text mode empty values get a label, else they are NULL."""
     value = to_number("alt")
     if mode == "numeric":
         clamped = F.when(value < 0, F.lit(0.0)).otherwise(value)
     else:
-        clamped = F.when(value < 0, F.lit("0")).when(is_empty("alt"), F.lit("M"))
+        clamped = F.when(value < 0, F.lit("0")).when(is_empty("alt"), F.lit(empty))
         clamped = clamped.otherwise(text("alt"))
     return df.withColumn("alt", clamped)
 

@@ -28,6 +28,7 @@ def column_of(spark, rows, expression, type="string"):
 def test_clamp_altitude(spark):
     df = spark.createDataFrame(DIRTY, AIRPORT_TEXT)
     assert values(cleaning.clamp_altitude(df), "alt") == ["M", "M", "1044Aa", "0", "12"]
+    assert values(cleaning.clamp_altitude(df, empty=""), "alt") == ["", "", "1044Aa", "0", "12"]
     numeric = cleaning.clamp_altitude(df, "numeric")
     assert values(numeric, "alt") == [None, None, None, 0.0, 12.0]
 

@@ -122,19 +122,40 @@ def test_star_keeps_every_fact_row(star):
     {"from": "o_region", "to": "d_region"},
     {"origin": "fl_origin"},
 ])
-def test_star_aggregate_equals_aggregate_of_join(star, by):
+@pytest.mark.parametrize("reduce_first", [True, False])
+def test_star_aggregate_equals_aggregate_of_join(star, by, reduce_first):
     where = F.col("fl_delay") >= 0
     measures = {"n": count(), "sum": total("fl_delay"), "mean": mean("fl_delay")}
     direct = star.join().filter(where).groupBy(*[F.col(c).alias(n) for n, c in by.items()]).agg(
         F.count("*").alias("n"), F.sum("fl_delay").alias("sum"), F.avg("fl_delay").alias("mean"))
-    assert bag(star.aggregate(by, measures, where)) == bag(direct)
+    assert bag(star.aggregate(by, measures, where, reduce_first)) == bag(direct)
 
 
 def test_star_aggregate_of_dimension_measures(star):
     measures = {"sum": total("d_size"), "mean": mean("d_size")}
     direct = star.join().groupBy(F.col("o_region").alias("region")).agg(
         F.sum("d_size").alias("sum"), F.avg("d_size").alias("mean"))
-    assert bag(star.aggregate({"region": "o_region"}, measures)) == bag(direct)
+    for reduce_first in (True, False):
+        found = star.aggregate({"region": "o_region"}, measures, reduce_first=reduce_first)
+        assert bag(found) == bag(direct)
+
+
+def test_star_reduces_first_unless_dimensions_are_small(spark, star):
+    def joins_reduced_rows():
+        fresh = Star(star.fact, [Dimension(d.prefix, d.table, d.foreign_key, d.key)
+                                 for d in star.dimensions.values()])
+        plan = fresh.aggregate({"region": "d_region"}, {"sum": total("fl_delay")})
+        return "_sum_fl_delay" in plan._jdf.queryExecution().optimizedPlan().toString()
+
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "-1")
+        assert joins_reduced_rows()
+        spark.conf.set(name, str(1 << 60))
+        assert not joins_reduced_rows()
+    finally:
+        spark.conf.set(name, before)
 
 
 def test_star_aggregate_joins_only_what_it_needs(star):

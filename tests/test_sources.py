@@ -2,6 +2,7 @@ import pytest
 
 from tabq.operators.labels import label
 from tabq.plans import cleaning
+from tabq.plans.reports import answers as all_answers
 from tabq.plans.reports import retail
 from tabq.plans.rules import airports as airport_rules
 from tabq.sources import files, schemas
@@ -74,7 +75,8 @@ def test_from_csv_to_report(spark, tmp_path):
         'C53636,PADS,pads,-6,1/12/2010 08:26,"2,50",17850,UK\n')
     raw = files.read_csv(spark, str(path), schemas.RETAIL)
     sales = files.handoff(cleaning.clean_sales(raw), "sales", str(tmp_path))
-    answers = {k: [tuple(r) for r in f(sales).collect()] for k, f in retail.REPORTS.items()}
+    answers = {k: [tuple(r) for r in df.collect()]
+               for k, df in all_answers(retail.REPORTS, sales).items()}
     assert answers["rq01"] == [("20.00",)]
     assert answers["rq02"] == [(1, "10.00")]
     assert answers["rq03"] == [(4,)]
