@@ -100,12 +100,12 @@ def test_ratio_without_whole_is_null(spark):
 @pytest.fixture(scope="module")
 def star(spark):
     rng = random.Random(3)
-    places = [("A", "r1", 10), ("B", "r1", 20), ("C", "r2", None)]
     codes = ["A", "A", "A", "B", "C", None, "?"]
     trips = [(rng.choice(codes), rng.choice(codes), rng.choice([None, -3, 0, 5, 9]))
              for _ in range(300)]
     fact = spark.createDataFrame(trips, "fl_origin string, fl_dest string, fl_delay int")
-    place = spark.createDataFrame(places, "code string, region string, size int")
+    place = spark.sql("SELECT * FROM VALUES ('A', 'r1', 10), ('B', 'r1', 20), ('C', 'r2', NULL) "
+                      "AS places(code, region, size)")
     dims = [Dimension("o_", prefixed(place, "o_"), "fl_origin", "o_code"),
             Dimension("d_", prefixed(place, "d_"), "fl_dest", "d_code")]
     return Star(fact, dims)
@@ -152,7 +152,7 @@ def test_star_reduces_first_unless_dimensions_are_small(spark, star):
     try:
         spark.conf.set(name, "-1")
         assert joins_reduced_rows()
-        spark.conf.set(name, str(1 << 60))
+        spark.conf.set(name, "10MB")
         assert not joins_reduced_rows()
     finally:
         spark.conf.set(name, before)
