@@ -3,13 +3,7 @@
 from pyspark.sql import functions as F
 
 from tabq.functions import patterns
-from tabq.functions.predicates import as_column, text
-
-RESULT = (
-    "struct<column:string,expectation:string,success:boolean,element_count:bigint,"
-    "unexpected_count:bigint,unexpected_percent:double>"
-)
-
+from tabq.functions.predicates import as_column, literal, text
 
 def to_exist(column):
     return ("to_exist", column, None)
@@ -33,21 +27,22 @@ def check(df, expectations):
     for i, (kind, column, unexpected) in enumerate(expectations):
         present = column in df.columns
         if unexpected is None:
-            none = F.lit(None)
-            results.append((column, kind, F.lit(present), none, none, none))
+            results.append(_result(column, kind, str(present), "NULL", "NULL"))
         elif present:
-            counters[f"bad_{i}"] = F.count_if(unexpected(column))
-            bad = F.col(f"bad_{i}")
-            percent = F.try_divide(bad * 100.0, F.col("total"))
-            results.append((column, kind, bad == 0, F.col("total"), bad, percent))
+            bad = f"bad_{i}"
+            counters[bad] = F.count_if(unexpected(column))
+            results.append(_result(column, kind, f"{bad} = 0", "total", bad))
     totals = df.agg(F.count(F.lit(1)).alias("total"), *[c.alias(n) for n, c in counters.items()])
-    rows = F.array(
-        *[
-            F.struct(F.lit(column), F.lit(kind), *values).cast(RESULT)
-            for column, kind, *values in results
-        ]
+    return totals.selectExpr(f"inline(array({', '.join(results)}))")
+
+
+def _result(column, kind, success, total, bad):
+    return (
+        f"struct({literal(column)} AS column, {literal(kind)} AS expectation, "
+        f"{success} AS success, CAST({total} AS BIGINT) AS element_count, "
+        f"CAST({bad} AS BIGINT) AS unexpected_count, "
+        f"try_divide(CAST({bad} AS DOUBLE) * 100, {total}) AS unexpected_percent)"
     )
-    return totals.select(F.inline(rows))
 
 
 def check_mandatory(df, columns):
