@@ -2,10 +2,35 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabq.llm import quality
-from tabq.llm.common import read
+from tabq.llm import bpe, chat, jaccard, langid, packing, quality, topk
+from tabq.llm.common import fold, read
+
+
+def op2_chat_format(spark, folder):
+    said = "\\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                "conv_id long, turn int, role string, text string")
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_turns(turns.union(own)))
+
+
+def op3_ngram_jaccard_join(spark, folder):
+    return jaccard.join(read(spark, folder, "documents"))
+
+
+def op4_language_id(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = langid.learn(docs.where(fold("doc_id", 5) != 0))
+    rows = docs.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "text")
+    return langid.predict(rows, model, keep=["doc_id", "held_out"])
+
+
+def op5_exact_top_k(spark, folder):
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
 
 
 def op6_quality_rules(spark, folder):
@@ -15,8 +40,28 @@ def op6_quality_rules(spark, folder):
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "score")
 
 
+def op7_best_fit_packing(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op10_byte_bpe(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    ids = bpe.encode(docs, *vocabulary, keep=["doc_id"])
+    return bpe.decode(ids, *vocabulary).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
+    "op2_chat_format": op2_chat_format,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_language_id": op4_language_id,
+    "op5_exact_top_k": op5_exact_top_k,
     "op6_quality_rules": op6_quality_rules,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 #: SQL twins; the learnt verdicts have none, their queries are tested against brute force.
