@@ -26,16 +26,22 @@ def fold(column: str, n: int):
     return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(n))
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder; a folder is set only where none is (tests)."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that all executors share; one is set only where none is (tests)."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = "/tmp/checkpoints"
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

@@ -11,7 +11,8 @@ are taken out, a signature is left:
 
 With a count of m + 1 the smaller prefix of any linked pair shares a signature with the other. How
 many classes there are depends on the set's size by powers of two; a set also serves the next power
-if a partner could be there. Sets of up to seven shingles use all subsets they could share instead.
+if a partner could be there. Sets of up to seven shingles use all subsets they could share instead,
+and so do, besides, sets of eight and nine, which can be their partners.
 
 The order comes from a sketch of fixed size that all shingles are counted in; being coarse costs
 candidates, never links. Candidates are verified exactly, in two steps. First each bucket of a
@@ -42,7 +43,8 @@ from tabq.llm.common import checkpoint, column_bytes, folded_words, hashes, mix
 WORDS = 5
 CELLS = 1 << 22  # of the sketch
 CHUNK = 1 << 16
-SMALL = 7  # sets up to here use subsets
+SMALL = 7  # sets up to here use subsets alone
+SUBSETS = 9  # and their partners, up to here, subsets too
 SALTS = 32
 FILTER_BITS = 1 << 26  # of the filter for texts to compare
 _STEP = np.uint64(0x9FB21C651E98DF25)
@@ -134,16 +136,14 @@ def signatures(keys: np.ndarray, levels: np.ndarray, frequent: int) -> tuple[np.
     """Signatures of a set, those of rare shingles first, and the number of those."""
     n = len(keys)
     missing = n - (3 * n + 3) // 4
+    subsets = _subsets(keys, missing) if n <= SUBSETS else keys[:0]
     if n <= SMALL:
-        each = mix(keys, 2)
-        whole = each.sum(dtype=np.uint64)
-        return mix(np.concatenate(([whole], (whole - each) if missing else [])).astype(np.uint64),
-                   3), 0
+        return subsets, 0
     level = levels[cells(keys)]
     order = np.lexsort((keys, level))
     keys, often = keys[order], level[order] >= frequent
     if not often[:missing + 1].any():  # rare shingles alone reach the count
-        return mix(keys[:missing + 1], 4), missing + 1
+        return np.concatenate((mix(keys[:missing + 1], 4), subsets)), missing + 1
     rare, pairs = 0, []
     size = 1 << (n.bit_length() - 1)
     for s in (size, 2 * size) if 4 * n >= 6 * size else (size,):
@@ -163,7 +163,16 @@ def signatures(keys: np.ndarray, levels: np.ndarray, frequent: int) -> tuple[np.
                 break
             pairs.append(mix(mix(a[:-lag][same], s) + mix(a[lag:][same], s + 1) * _STEP, 6))
     alone = mix(keys[~often][:rare], 4)
-    return np.concatenate([alone, *pairs]), rare
+    return np.concatenate([alone, *pairs, subsets]), rare
+
+
+def _subsets(keys: np.ndarray, missing: int) -> np.ndarray:
+    """A hash of each subset that leaves out up to `missing` (0 to 2) shingles."""
+    each = mix(keys, 2)
+    sums = [np.array([each.sum(dtype=np.uint64)])]
+    for _ in range(missing):
+        sums.append(np.unique((sums[-1][:, None] - each[None]).ravel()))
+    return mix(np.concatenate(sums), 3)
 
 
 def _sign(shared):

@@ -5,10 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabq.llm import bpe, chat, jaccard, langid, packing, quality, topk
+from tabq.llm import bloomlm, bpe, chat, jaccard, langid, packing, pii, quality, topk, toxicity
 from tabq.llm.common import fold, read
 
 
+def op1_lm_scoring(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return bloomlm.score(docs, fold("doc_id", 5) == 1)
+
+
 def op2_chat_format(spark, folder):
     said = "\\### Assistant: </turn> ok"
     own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
@@ -45,6 +50,20 @@ def op7_best_fit_packing(spark, folder):
     return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op8_pii(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.learn(docs), keep=["doc_id"])
+
+
+def op9_toxicity(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    known = fold("doc_id", 3) != 1
+    labels = read(spark, folder, "labels").select("doc_id", "toxic").where(known)
+    model = toxicity.learn(docs.where(known), labels)
+    rows = docs.select("doc_id", (~known).alias("held_out"), "text")
+    return toxicity.predict(rows, model, keep=["doc_id", "held_out"])
+
+
 def op10_byte_bpe(spark, folder):
     docs = read(spark, folder, "documents").select("doc_id", "text")
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -55,12 +74,15 @@ def op10_byte_bpe(spark, folder):
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_chat_format": op2_chat_format,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_language_id": op4_language_id,
     "op5_exact_top_k": op5_exact_top_k,
     "op6_quality_rules": op6_quality_rules,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_pii": op8_pii,
+    "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
