@@ -27,8 +27,8 @@ from tabq.llm.common import append, column_bytes, hashes
 
 SIZE = 1 << 18
 POSITIVES, UNLABELLED = 4_000, 12_000  # training texts, at most
-FEWEST = 4  # training texts that a word must be in
-SHRINK = 4e-4
+FEWEST = 6  # training texts that a word must be in
+SHRINK, SHRINK_CHOSEN = 6e-4, 2e-5
 THRESHOLD = 0.7
 _PUNCTUATION = b"".join(bytes([c]) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -52,12 +52,17 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def train(rows: list[np.ndarray], positive: np.ndarray, prior: float, rounds: int = 400,
-          rate: float = 0.05) -> Model:
-    """Minimise prior R+(P) + max(0, R-(U) - prior R-(P)) with logistic loss. positive: which rows
-    are confirmed; the others are unlabelled."""
+def train(rows: list[np.ndarray], positive: np.ndarray, prior: float) -> Model:
+    """Choose words with shrinking weights, then fit the chosen ones' weights with hardly any."""
     counts = np.bincount(np.concatenate(rows), minlength=SIZE)
-    kept = np.flatnonzero(counts >= FEWEST)
+    chosen = descend(rows, positive, prior, np.flatnonzero(counts >= FEWEST), SHRINK)
+    return descend(rows, positive, prior, np.flatnonzero(chosen.weights), SHRINK_CHOSEN)
+
+
+def descend(rows: list[np.ndarray], positive: np.ndarray, prior: float, kept: np.ndarray,
+            shrink: float, rounds: int = 300, rate: float = 0.05) -> Model:
+    """Minimise prior R+(P) + max(0, R-(U) - prior R-(P)) with logistic loss over the kept words.
+    positive: which rows are confirmed; the others are unlabelled."""
     number = np.full(SIZE, -1)
     number[kept] = np.arange(len(kept))
     columns = [number[r] for r in rows]
@@ -81,7 +86,7 @@ def train(rows: list[np.ndarray], positive: np.ndarray, prior: float, rounds: in
         second = 0.999 * second + 0.001 * gradient ** 2
         size = rate / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-5)
         w -= size * first / (1 - 0.9 ** step)
-        limit = size * SHRINK
+        limit = size * shrink
         w[:-1] = np.sign(w[:-1]) * np.maximum(np.abs(w[:-1]) - limit[:-1], 0)
     weights = np.zeros(SIZE)
     weights[kept] = w[:-1]
