@@ -19,7 +19,8 @@ candidates, never links. Candidates are verified exactly, in two steps. First ea
 signature forms a star around its smallest set, and the links found are closed to components. Then
 only pairs of one bucket that are still in different components are verified. So a group of many
 copies costs one comparison for each of its members and bucket, not all its pairs, and no link is
-lost. Buckets that can be hot are dealt with a salt, as stars of stars.
+lost. A pair that could not share enough even if all shingles from its signature on agree is not
+compared; nor are sets that share frequent shingles alone, but have too few of them. Buckets that can be hot are dealt with a salt, as stars of stars.
 
 Sets are named by 64-bit hashes, which equal sets share: copies are one node from the start.
 
@@ -46,6 +47,7 @@ CHUNK = 1 << 16
 SMALL = 7  # sets up to here use subsets alone
 SUBSETS = 9  # and their partners, up to here, subsets too
 SALTS = 32
+STARS = 2  # rounds of stars after the first
 FILTER_BITS = 1 << 26  # of the filter for texts to compare
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
@@ -132,28 +134,32 @@ def frequent_from(levels: np.ndarray) -> int:
 # --- second pass: signatures ---
 
 
-def signatures(keys: np.ndarray, levels: np.ndarray, frequent: int) -> tuple[np.ndarray, int]:
-    """Signatures of a set, those of rare shingles first, and the number of those."""
+def signatures(keys: np.ndarray, levels: np.ndarray,
+               frequent: int) -> tuple[np.ndarray, int, np.ndarray]:
+    """Signatures of a set, those of rare shingles first; the number of those; and for each, how many
+    shingles a partner can share if they meet by this signature and by no earlier rare one."""
     n = len(keys)
     missing = n - (3 * n + 3) // 4
     subsets = _subsets(keys, missing) if n <= SUBSETS else keys[:0]
+    whole = np.full(len(subsets), n)
     if n <= SMALL:
-        return subsets, 0
+        return subsets, 0, whole
     level = levels[cells(keys)]
     order = np.lexsort((keys, level))
     keys, often = keys[order], level[order] >= frequent
+    after = np.arange(n, 0, -1)  # what is left from each place on
     if not often[:missing + 1].any():  # rare shingles alone reach the count
-        return np.concatenate((mix(keys[:missing + 1], 4), subsets)), missing + 1
+        return (np.concatenate((mix(keys[:missing + 1], 4), subsets)), missing + 1,
+                np.concatenate((after[:missing + 1], whole)))
     rare, pairs = 0, []
     size = 1 << (n.bit_length() - 1)
     for s in (size, 2 * size) if 4 * n >= 6 * size else (size,):
         classes = max(1, s // 6)
         own = (mix(keys, 5) % np.uint64(classes)).astype(np.int64)
-        counts = ~often
         later = np.ones(n, bool)
         later[np.flatnonzero(often)[np.unique(own[often], return_index=True)[1]]] = False
-        end = int(np.searchsorted(np.cumsum(counts | (often & later)), missing + 1)) + 1
-        rare = max(rare, int(counts[:end].sum()))
+        end = int(np.searchsorted(np.cumsum(~often | later), missing + 1)) + 1
+        rare = max(rare, int((~often[:end]).sum()))
         chosen = np.flatnonzero(often[:end])
         chosen = chosen[np.lexsort((keys[chosen], own[chosen]))]
         a, c = keys[chosen], own[chosen]
@@ -162,8 +168,12 @@ def signatures(keys: np.ndarray, levels: np.ndarray, frequent: int) -> tuple[np.
             if not same.any():
                 break
             pairs.append(mix(mix(a[:-lag][same], s) + mix(a[lag:][same], s + 1) * _STEP, 6))
-    alone = mix(keys[~often][:rare], 4)
-    return np.concatenate([alone, *pairs, subsets]), rare
+    # if a partner shares a rare shingle, it meets the set there; else it shares frequent ones only
+    number = int(often.sum())
+    if 4 * number < 3 * n:
+        pairs = []
+    bounds = np.concatenate((after[:rare], np.full(sum(map(len, pairs)), number), whole))
+    return np.concatenate([mix(keys[:rare], 4), *pairs, subsets]), rare, bounds
 
 
 def _subsets(keys: np.ndarray, missing: int) -> np.ndarray:
@@ -180,20 +190,24 @@ def _sign(shared):
         levels, frequent = shared.value
         seen = set()  # copies within the task sign once
         for batch in batches:
-            signs, nodes, hot = [], [], []
+            signs, nodes, hot, sizes, bounds = [], [], [], [], []
             for text in column_bytes(batch, "text"):
                 keys = shingles(text)
                 if not len(keys) or (node := name_of(keys)) in seen:
                     continue
                 seen.add(node)
-                found, rare = signatures(keys, levels, frequent)
+                found, rare, most = signatures(keys, levels, frequent)
                 signs.append(found)
                 nodes.append(np.full(len(found), node))
                 hot.append(np.arange(len(found)) >= rare)
+                sizes.append(np.full(len(found), len(keys)))
+                bounds.append(most)
             if signs:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(signs).view(np.int64)), pa.array(np.concatenate(nodes)),
-                     pa.array(np.concatenate(hot))], names=["sig", "node", "hot"])
+                     pa.array(np.concatenate(hot)), pa.array(np.concatenate(sizes).astype(np.int32)),
+                     pa.array(np.concatenate(bounds).astype(np.int32))],
+                    names=["sig", "node", "hot", "n", "most"])
     return run
 
 
@@ -275,6 +289,17 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             F.col("v").alias("u"), F.col("m").alias("v")).union(least).distinct())
 
 
+def _may_link():
+    """Can a set share enough with its bucket's lead? The overlap must be 3/7 of both sizes' sum."""
+    return 7 * F.least("most", "lead.most") >= 3 * (F.col("n") + F.col("lead.n"))
+
+
+def _possible(starred: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of a set and its lead that may link."""
+    return starred.where((F.col("node") != F.col("lead.node")) & _may_link()).select(
+        F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
+
+
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -284,37 +309,42 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     rows = described.where("chunk is null").select("doc_id", "n", "node")
 
     shared = docs.sparkSession.sparkContext.broadcast((levels, frequent_from(levels)))
-    signed = docs.select("text").mapInArrow(_sign(shared), "sig long, node long, hot boolean")
+    signed = docs.select("text").mapInArrow(
+        _sign(shared), "sig long, node long, hot boolean, n int, most int")
     salt = F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(F.lit(0))
     bucket = Window.partitionBy("sig", "salt")
-    starred = signed.withColumn("salt", salt).withColumn("lead", F.min("node").over(bucket)) \
-        .withColumn("most", F.max("node").over(bucket))
+    own = F.struct("node", "n", "most")
+    starred = signed.withColumn("salt", salt).withColumn("lead", F.min(own).over(bucket)) \
+        .withColumn("last", F.max("node").over(bucket))
     # what is alone in its bucket has no partner; of salted buckets that shows later
-    members = checkpoint(starred.where("hot or most > lead").select("sig", "hot", "node", "lead"))
+    members = checkpoint(starred.where("hot or last > lead.node").select(
+        "sig", "hot", "node", "n", "most", "lead"))
 
-    leads = members.where("hot").select("sig", "lead").distinct().withColumn(
-        "first", F.min("lead").over(Window.partitionBy("sig")))
-    pairs = members.where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")) \
-        .union(leads.where("lead <> first").select("first", "lead")).distinct()
-    pairs = checkpoint(pairs)
+    leads = members.where("hot").select("sig", F.col("lead").alias("own")).distinct().withColumn(
+        "lead", F.min("own").over(Window.partitionBy("sig"))).select("own.*", "lead")
+    pairs = checkpoint(_possible(members.select("node", "n", "most", "lead").union(leads)))
     links = checkpoint(_links(docs, pairs))
     roots = components(links)
 
-    # pairs of one bucket that the stars left in different components
-    sizes = rows.where("node is not null").groupBy("node").agg(F.first("n").alias("n"))
-    known = members.select("sig", "node").distinct().join(roots, "node", "left").join(
-        sizes, "node").select("sig", "node", F.coalesce("root", "node").alias("root"), "n")
-    mixed = known.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(
-        "low <> high").select("sig")
-    mixed = checkpoint(known.join(mixed, "sig"))
-    other = mixed.select("sig", F.col("node").alias("node2"), F.col("root").alias("root2"),
-                         F.col("n").alias("n2"))
-    rest = mixed.join(other, "sig").where(
-        "root < root2 and 100 * least(n, n2) >= 75 * greatest(n, n2)").select(
-        F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
-    rest = checkpoint(rest.join(pairs, ["a", "b"], "left_anti"))
-    more = checkpoint(_links(docs, rest))
-    roots = components(links.union(more))
+    # pairs of one bucket that the stars left in different components: some more stars around other
+    # sets join what is one group, then all pairs that are left
+    members = members.select("sig", "node", "n", "most").distinct()
+    for turn in range(1, STARS + 2):
+        known = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        head = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "most", "root"))
+        heads = known.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"),
+                                         head.alias("lead")).where("low <> high")
+        if turn <= STARS:
+            found = known.join(heads.select("sig", "lead"), "sig").where("root <> lead.root")
+        else:
+            mixed = checkpoint(known.join(heads.select("sig"), "sig"))
+            other = mixed.select("sig", F.struct("node", "n", "most", "root").alias("lead"))
+            found = mixed.join(other, (mixed["sig"] == other["sig"]) & _may_link()
+                               & (mixed["root"] < F.col("lead.root")))
+        new = checkpoint(_possible(found).join(pairs, ["a", "b"], "left_anti"))
+        pairs = pairs.union(new)
+        links = links.union(checkpoint(_links(docs, new)))
+        roots = components(links)
 
     named = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(
         roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
