@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabq.llm.common import checkpoint, column_bytes, folded_words, hashes, mix, runs
+from tabq.llm.common import checkpoint, column_bytes, folded_words, hashes, mix, runs, small_batches
 
 BITS = 6
 PROBES = 4
@@ -283,6 +283,7 @@ def _light(heavy):
 
 def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Scores of all texts, learnt from those for which held_out (a column) is not true."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"),
                        F.coalesce(held_out, F.lit(False)).alias("held_out"),
                        F.col(text).alias("text"))

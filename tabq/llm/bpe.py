@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from tabq.llm.common import append, column_texts
 
 LEAF = 24  # bytes merged without halving
-CACHED = 1_000_000  # pieces that a worker remembers
+CACHED = 400_000  # pieces that a worker remembers
 CACHED_CHARS = 48
 NONE = 1 << 32
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -45,6 +46,25 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df, written once as Parquet in the shared folder and read again: a compressed checkpoint."""
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send rows to Python in batches of bounded size, however long their texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)
+
+
+def slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of about `most` bytes, so that what is made of them stays small too."""
+    rows = max(1, int(batch.num_rows * most / max(1, batch.nbytes)))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def append(df: DataFrame, work: Callable[[pa.RecordBatch], list], fields: str,
            keep: list[str] | None = None) -> DataFrame:
     """df's columns `keep` (all by default) and the arrays that `work` makes of each batch.
@@ -59,13 +79,13 @@ def append(df: DataFrame, work: Callable[[pa.RecordBatch], list], fields: str,
     old = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                made = [x if isinstance(x, pa.Array) else pa.array(x, type=t)
-                        for x, t in zip(work(batch), types, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c) for c in old] + made, names=old + [f.name for f in new])
+        for part in (p for batch in batches for p in slices(batch)):
+            made = [x if isinstance(x, pa.Array) else pa.array(x, type=t)
+                    for x, t in zip(work(part), types, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(c) for c in old] + made, names=old + [f.name for f in new])
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -39,7 +39,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabq.llm.common import checkpoint, column_bytes, folded_words, hashes, mix
+from tabq.llm.common import (
+    checkpoint,
+    column_bytes,
+    folded_words,
+    hashes,
+    mix,
+    slices,
+    small_batches,
+    stored,
+)
 
 WORDS = 5
 CELLS = 1 << 22  # of the sketch
@@ -47,7 +56,6 @@ CHUNK = 1 << 16
 SMALL = 7  # sets up to here use subsets alone
 SUBSETS = 9  # and their partners, up to here, subsets too
 SALTS = 32
-STARS = 2  # rounds of stars after the first
 FILTER_BITS = 1 << 26  # of the filter for texts to compare
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
@@ -87,7 +95,7 @@ def cells(keys: np.ndarray) -> np.ndarray:
 def _describe(batches):
     names = ["doc_id", "n", "node", "chunk", "counts"]
     sketch = np.zeros(CELLS, np.uint32)
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         n, node = [], []
         for text in column_bytes(batch, "text"):
             keys = shingles(text)
@@ -189,25 +197,23 @@ def _sign(shared):
     def run(batches):
         levels, frequent = shared.value
         seen = set()  # copies within the task sign once
-        for batch in batches:
-            signs, nodes, hot, sizes, bounds = [], [], [], [], []
+        for batch in (part for whole in batches for part in slices(whole)):
+            signs, nodes, facts = [], [], []
             for text in column_bytes(batch, "text"):
                 keys = shingles(text)
                 if not len(keys) or (node := name_of(keys)) in seen:
                     continue
                 seen.add(node)
                 found, rare, most = signatures(keys, levels, frequent)
+                fact = (len(keys) << 28) + most  # size and bound; negative: the bucket can be hot
+                fact[rare:] *= -1
                 signs.append(found)
                 nodes.append(np.full(len(found), node))
-                hot.append(np.arange(len(found)) >= rare)
-                sizes.append(np.full(len(found), len(keys)))
-                bounds.append(most)
+                facts.append(fact)
             if signs:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(signs).view(np.int64)), pa.array(np.concatenate(nodes)),
-                     pa.array(np.concatenate(hot)), pa.array(np.concatenate(sizes).astype(np.int32)),
-                     pa.array(np.concatenate(bounds).astype(np.int32))],
-                    names=["sig", "node", "hot", "n", "most"])
+                     pa.array(np.concatenate(facts))], names=["sig", "node", "facts"])
     return run
 
 
@@ -217,15 +223,12 @@ def _sign(shared):
 def _texts(wanted):
     """Texts of wanted sets, one for each set and task."""
     def run(batches):
-        bits, seen = wanted.value, set()
-        for batch in batches:
+        seen = set()
+        for batch in (part for whole in batches for part in slices(whole)):
             nodes, texts = [], []
             for text in column_bytes(batch, "text"):
                 keys = shingles(text)
-                if not len(keys) or (node := name_of(keys)) in seen:
-                    continue
-                at = node % FILTER_BITS
-                if bits[at >> 3] >> (at & 7) & 1:
+                if len(keys) and (node := name_of(keys)) not in seen and _marked(wanted.value, node):
                     seen.add(node)
                     nodes.append(node)
                     texts.append(text)
@@ -235,6 +238,20 @@ def _texts(wanted):
     return run
 
 
+def _marked(bits: bytes, node: int) -> int:
+    at = node % FILTER_BITS
+    return bits[at >> 3] >> (at & 7) & 1
+
+
+def _chosen(wanted):
+    """Rows of stored texts that are wanted."""
+    def run(batches):
+        for batch in batches:
+            keep = [bool(_marked(wanted.value, node)) for node in batch.column("node").to_pylist()]
+            yield batch.filter(pa.array(keep))
+    return run
+
+
 def _verify(batches):
     last, known = None, None
     for batch in batches:
@@ -251,21 +268,26 @@ def _verify(batches):
             names=["a", "b"])
 
 
-def _links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs that are similar. A bit filter of fixed size keeps most other texts from moving."""
+def _filter(nodes: DataFrame):
+    """A broadcast bit filter of fixed size: it keeps most other texts from moving, and passes some."""
     at = F.pmod("node", F.lit(FILTER_BITS))
-    chunks = pairs.select(F.explode(F.array("a", "b")).alias("node")).select(
-        at.alias("at")).groupBy((F.col("at") / 32768).cast("int").alias("chunk")).agg(
+    chunks = nodes.select(at.alias("at")).groupBy((F.col("at") / 32768).cast("int").alias("chunk")).agg(
         F.bitmap_construct_agg((F.col("at") % 32768)).alias("bits")).collect()
     bits = bytearray(FILTER_BITS // 8)
     for row in chunks:
         bits[row.chunk * 4096:(row.chunk + 1) * 4096] = row.bits
-    shared = docs.sparkSession.sparkContext.broadcast(bytes(bits))
-    texts = docs.select("text").mapInArrow(_texts(shared), "node long, text binary")
-    one = texts.groupBy("node").agg(F.min("text").alias("text"))  # copies in other tasks
-    both = pairs.join(one.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(
-        one.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long")
+    return nodes.sparkSession.sparkContext.broadcast(bytes(bits))
+
+
+def _links(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are similar. texts: (node, text), at least those of the pairs."""
+    def of(side):
+        own = texts.mapInArrow(_chosen(_filter(pairs.select(F.col(side).alias("node")))), texts.schema)
+        return own.groupBy("node").agg(F.min("text").alias(f"text_{side}")).withColumnRenamed(
+            "node", side)  # copies come from several tasks
+
+    return pairs.join(of("b"), "b").join(of("a"), "a").select(
+        "a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long")
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -290,18 +312,19 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def _may_link():
-    """Can a set share enough with its bucket's lead? The overlap must be 3/7 of both sizes' sum."""
-    return 7 * F.least("most", "lead.most") >= 3 * (F.col("n") + F.col("lead.n"))
+    """Can two sets of a bucket share enough? The overlap must be 3/7 of both sizes' sum."""
+    return 7 * F.least("most", "most2") >= 3 * (F.col("n") + F.col("n2"))
 
 
-def _possible(starred: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of a set and its lead that may link."""
-    return starred.where((F.col("node") != F.col("lead.node")) & _may_link()).select(
-        F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
+def _possible(met: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of sets that met and may link."""
+    return met.where((F.col("node") != F.col("node2")) & _may_link()).select(
+        F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct()
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     described = checkpoint(docs.mapInArrow(
         _describe, "doc_id long, n long, node long, chunk int, counts binary"))
@@ -310,41 +333,48 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
     shared = docs.sparkSession.sparkContext.broadcast((levels, frequent_from(levels)))
     signed = docs.select("text").mapInArrow(
-        _sign(shared), "sig long, node long, hot boolean, n int, most int")
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(F.lit(0))
-    bucket = Window.partitionBy("sig", "salt")
-    own = F.struct("node", "n", "most")
-    starred = signed.withColumn("salt", salt).withColumn("lead", F.min(own).over(bucket)) \
-        .withColumn("last", F.max("node").over(bucket))
+        _sign(shared), "sig long, node long, facts long")
+    bucket = Window.partitionBy("sig", F.when(
+        F.col("facts") < 0, F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(0))
+    starred = signed.withColumn("lead", F.min(F.struct("node", "facts")).over(bucket)).withColumn(
+        "last", F.max("node").over(bucket))
     # what is alone in its bucket has no partner; of salted buckets that shows later
-    members = checkpoint(starred.where("hot or last > lead.node").select(
-        "sig", "hot", "node", "n", "most", "lead"))
-
-    leads = members.where("hot").select("sig", F.col("lead").alias("own")).distinct().withColumn(
-        "lead", F.min("own").over(Window.partitionBy("sig"))).select("own.*", "lead")
-    pairs = checkpoint(_possible(members.select("node", "n", "most", "lead").union(leads)))
-    links = checkpoint(_links(docs, pairs))
+    members = stored(starred.where("facts < 0 or last > lead.node").select(
+        "sig", F.col("facts").alias("own_facts"), "node", F.col("lead.node").alias("node2"),
+        F.col("lead.facts").alias("lead_facts")))
+    facts = [(F.abs(f"{name}_facts") / (1 << 28)).cast("int").alias(n) for name, n in
+             (("own", "n"), ("lead", "n2"))] + [
+        (F.abs(f"{name}_facts") % (1 << 28)).cast("int").alias(n) for name, n in
+        (("own", "most"), ("lead", "most2"))]
+    hot = members.where("own_facts < 0")
+    members = members.select("sig", "node", "node2", *facts)
+
+    leads = hot.select("sig", *facts, "node2").select(
+        "sig", F.struct(F.col("node2").alias("node"), F.col("n2").alias("n"),
+                        F.col("most2").alias("most")).alias("own")).distinct().withColumn(
+        "lead", F.min("own").over(Window.partitionBy("sig"))).select(
+        F.col("own.node").alias("node"), F.col("lead.node").alias("node2"), F.col("own.n").alias("n"),
+        F.col("lead.n").alias("n2"), F.col("own.most").alias("most"),
+        F.col("lead.most").alias("most2"))
+    pairs = stored(_possible(members.drop("sig").unionByName(leads)))
+    # all texts that can be compared, now or below
+    texts = stored(docs.select("text").mapInArrow(
+        _texts(_filter(members.select("node"))), "node long, text binary"))
+    links = checkpoint(_links(texts, pairs))
     roots = components(links)
 
-    # pairs of one bucket that the stars left in different components: some more stars around other
-    # sets join what is one group, then all pairs that are left
-    members = members.select("sig", "node", "n", "most").distinct()
-    for turn in range(1, STARS + 2):
-        known = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        head = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "most", "root"))
-        heads = known.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                         head.alias("lead")).where("low <> high")
-        if turn <= STARS:
-            found = known.join(heads.select("sig", "lead"), "sig").where("root <> lead.root")
-        else:
-            mixed = checkpoint(known.join(heads.select("sig"), "sig"))
-            other = mixed.select("sig", F.struct("node", "n", "most", "root").alias("lead"))
-            found = mixed.join(other, (mixed["sig"] == other["sig"]) & _may_link()
-                               & (mixed["root"] < F.col("lead.root")))
-        new = checkpoint(_possible(found).join(pairs, ["a", "b"], "left_anti"))
-        pairs = pairs.union(new)
-        links = links.union(checkpoint(_links(docs, new)))
-        roots = components(links)
+    # all pairs of one bucket that the stars left in different components
+    known = members.select("sig", "node", "n", "most").distinct().join(
+        roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    heads = known.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(
+        "low <> high")
+    mixed = stored(known.join(heads.select("sig"), "sig"))
+    other = mixed.select(F.col("sig").alias("sig2"), *(F.col(c).alias(c + "2")
+                                                       for c in ("node", "n", "most", "root")))
+    found = mixed.join(other, (F.col("sig") == F.col("sig2")) & _may_link()
+                       & (F.col("root") < F.col("root2")))
+    rest = stored(_possible(found).join(pairs, ["a", "b"], "left_anti"))
+    roots = components(links.union(checkpoint(_links(texts, rest))))
 
     named = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(
         roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

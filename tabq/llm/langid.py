@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabq.llm.common import append, column_texts, letters, mix, runs
+from tabq.llm.common import append, column_texts, letters, mix, runs, small_batches
 
 ROWS = 1 << 22
 PROBES = 3
@@ -86,6 +86,7 @@ def _counted(batches):
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Learn from every text with a language. The driver gets one row for each language and at most
     ROWS filter rows."""
+    small_batches(labelled.sparkSession)
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         "text is not null and lang is not null")
     summed = rows.mapInArrow(_counted, "lang string, gram long, n long").groupBy(

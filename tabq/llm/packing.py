@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tabq.llm.common import append, checkpoint, column_texts, runs
+from tabq.llm.common import append, checkpoint, column_texts, runs, small_batches
 
 CAPACITY = 2048
 END = 0
@@ -68,6 +68,8 @@ def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    small_batches(docs.sparkSession)
+
     def run(batches):
         encode = encoder(path).encode_ordinary
         for batch in batches:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabq.llm.common import append, column_texts
+from tabq.llm.common import append, column_texts, slices
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1  # the last is O
@@ -159,7 +159,7 @@ def edges_of(tokens: Tokens) -> tuple[list[tuple[int, int]], list[tuple[int, int
 
 def _sampled(batches):
     """Per token: features, label, the label of its chain and of its skip partner."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         rows = []
         for i, text in zip(batch.column("id").to_pylist(), column_texts(batch, "text")):
             tokens = tokens_of(text, base_spans(text))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabq.llm.common import append, column_bytes, hashes
+from tabq.llm.common import append, column_bytes, hashes, slices
 
 SIZE = 1 << 18
 POSITIVES, UNLABELLED = 4_000, 12_000  # training texts, at most
@@ -94,7 +94,7 @@ def descend(rows: list[np.ndarray], positive: np.ndarray, prior: float, kept: np
 
 
 def _features(batches):
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         found = [features(t) for t in column_bytes(batch, "text")]
         yield pa.RecordBatch.from_arrays(
             [batch.column("positive"), pa.array(found, pa.list_(pa.int32()))],
