@@ -1,11 +1,10 @@
 """Expectations, cleaning, joins, scalar functions and aggregates."""
 
-from oracle.labels import MAKERS, airports, flights, listed, sales, text_airports, txt
+from oracle.labels import MAKERS, airports, flights, listed, places, sales, text_airports, txt
 from oracle.views import (
     AIRPORT_WORDS,
     DATE,
     MILITARY,
-    PLACE_NAMES,
     QUANTITY,
     administration,
     any_word,
@@ -15,7 +14,7 @@ from oracle.views import (
     missing,
     price,
     region,
-    typed_number,
+    typed_places,
     with_views,
 )
 from tabq.plans.analogues import PEOPLE
@@ -195,10 +194,8 @@ def statements():
         "clean_sales_double":
             f"SELECT StockCode, {price('DOUBLE')} AS UnitPrice, {QUANTITY} AS Quantity "
             "FROM raw_sales WHERE StockCode <> 'PADS'",
-        "clean_places": f"SELECT {', '.join(PLACE_NAMES)} FROM places",
-        "clean_places_float":
-            f"SELECT {typed_number('population', 'FLOAT')} AS population, count(*) AS n "
-            "FROM raw_places GROUP BY 1",
+        "clean_places": f"SELECT {typed_places()}, {listed(places())} FROM raw_places",
+        "clean_places_float": f"SELECT {typed_places('FLOAT')} FROM raw_places",
         "flag_self_employed":
             f'SELECT workclass, {SELF_EMPLOYED} AS "self-employed", count(*) AS n '
             "FROM people GROUP BY 1, 2",

@@ -3,10 +3,11 @@
 from oracle.views import PLACE_NAMES, any_word, blank, empty, float_text, missing, with_views
 from tabq.plans.registry import DIRTY_AIRPORTS
 
-MAKERS = (
-    "AIRBUS|BOEING|BOMBARDIER|CESSNA|EMBRAER|SIKORSKY|CANADAIR|PIPER|MCDONNELL DOUGLAS|CIRRUS|BELL|"
-    "KILDALL GARY|LAMBERT RICHARD|BARKER JACK|ROBINSON HELICOPTER|GULFSTREAM|MARZ BARRY"
-).split("|")
+# Known makers, words for engines, kinds of daylight saving.
+MAKERS = ["AIRBUS", "BOEING", "BOMBARDIER", "CESSNA", "EMBRAER", "SIKORSKY", "CANADAIR", "PIPER",
+          "MCDONNELL DOUGLAS", "CIRRUS", "BELL", "KILDALL GARY", "LAMBERT RICHARD", "BARKER JACK",
+          "ROBINSON HELICOPTER", "GULFSTREAM", "MARZ BARRY"]
+DST = ["E", "A", "S", "O", "Z", "N", "U"]
 ENGINE_WORDS = ["Turbo-fan", "Turbo-jet", "Turbo-prop", "Turbo-shaft", "Cycle"]
 
 
@@ -46,7 +47,7 @@ def airports(variant, raw=False):
         faa = case((missing("faa"), "M"), (f"{found('faa', '^[a-zA-Z ]*$')} OR {short}", "F"),
                    rest="faa")
         name = case(("name IS NULL OR faa = ''", "M"), rest="name")
-        dst = case((missing("dst"), "M"), (f"NOT {in_list('dst', 'EASOZNU')}", "C"))
+        dst = case((missing("dst"), "M"), (f"NOT {in_list('dst', DST)}", "C"))
     else:
         bad = digit_free
         if variant == "intended":
@@ -57,7 +58,7 @@ def airports(variant, raw=False):
         key = "FALSE" if variant == "rdd" else "coalesce(regexp_matches(faa, '[\t ]'), FALSE)"
         name = case((f"{missing('name')} OR {key}", "M"), rest="name")
         dst = case((blank("dst"), "M"), (found("dst", "^[0-9]*$"), "N"),
-                   (f"NOT {in_list('dst', 'EASOZNU')}", "C"), rest="dst")
+                   (f"NOT {in_list('dst', DST)}", "C"), rest="dst")
     number = (lambda c: f"TRY_CAST({c} AS DOUBLE)") if raw else (lambda c: c)
     shown = txt if raw else float_text
     alt_letters = [] if variant == "sql" else [(found(txt("alt"), "[a-zA-Z ]"), "A")]
@@ -364,8 +365,8 @@ def statements():
         {**labelled_star(), "melted": melted(star_cells(True))},
     )
     result["profile_row_counts"] = with_views(
-        "SELECT 'flights' AS \"table\", count(*) AS n FROM flights "
-        "UNION ALL SELECT 'sales', count(*) FROM raw_sales"
+        "SELECT 'trips' AS \"table\", count(*) AS n FROM trips "
+        "UNION ALL SELECT 'airports', count(*) FROM airports"
     )
     dst = airports("df")["qa_dst"]
     result["profile_value_json"] = with_views(
@@ -378,7 +379,8 @@ def statements():
     cells = ", ".join(f"{{'column': 'qa_{c}', 'value': {e}}}" for c, e in
                       zip(PLACE_NAMES, places().values()))
     result["profile_frequency"] = with_views(
-        "SELECT cell['column'] AS \"column\", cell['value'] AS value, count(*) AS n "
+        "SELECT cell['column'] AS \"column\", CASE WHEN cell['value'] IN ('M', 'MN', 'F', 'I', 'S', 'T', "
+        "'A', 'C', 'N') THEN cell['value'] ELSE 'passed' END AS value, count(*) AS n "
         f"FROM (SELECT unnest([{cells}]) AS cell FROM raw_places) GROUP BY 1, 2"
     )
     return result

@@ -81,7 +81,7 @@ def mode(group, value, source="people", where="TRUE", extra="", count=None):
     count = count or f'count("{value}")'
     return (
         f'SELECT "{group}", "{value}"{extra} FROM (SELECT "{group}", "{value}", {count} AS n, '
-        f'row_number() OVER (PARTITION BY "{group}" ORDER BY {count} DESC, "{value}" NULLS FIRST) '
+        f'row_number() OVER (PARTITION BY "{group}" ORDER BY {count} DESC, "{value}" NULLS LAST) '
         f"AS place FROM {source} WHERE {where} GROUP BY 1, 2) WHERE place = 1"
     )
 
@@ -178,7 +178,7 @@ def communities():
         "mq12": f"""
             SELECT state, replace(communityname, 'city', '') AS place, race FROM (
               SELECT w.state, w.communityname, p.race, row_number() OVER (
-                PARTITION BY w.state, w.communityname ORDER BY count(*) DESC, p.race NULLS FIRST)
+                PARTITION BY w.state, w.communityname ORDER BY count(*) DESC, p.race NULLS LAST)
                 AS rank
               FROM ({worst}) w
               JOIN (SELECT communityname, {dominant()} AS race FROM places) p
@@ -244,7 +244,6 @@ def flights():
         "fr09": trips(up("air_time", "air_time")),
         "fr10": trips(f"{dest}, {up('air_time', 'air_time')}", 1),
         "fr11": air_by_route,
-        "fr11_first": f"{air_by_route} ORDER BY origin NULLS FIRST, dest NULLS FIRST LIMIT 200",
         "fr12": trips(f"{YEAR}, {up('air_time', 'air_time')}", 1),
         "fr13": trips(f"{dest}, {whole('sum(air_time)')} AS air_time", 1),
         "fr14": trips("round(avg(distance)) AS distance"),

@@ -62,11 +62,15 @@ def typed_number(c, dtype="DOUBLE"):
 
 
 PLACE_NAMES = list(analogues.PLACES.columns)
-TYPED_PLACES = "SELECT {} FROM raw_places".format(
-    ", ".join(
-        c if c == "communityname" else f"{typed_number(c)} AS {c}" for c in PLACE_NAMES
+
+
+def typed_places(dtype="DOUBLE"):
+    return ", ".join(
+        c if c == "communityname" else f"{typed_number(c, dtype)} AS {c}" for c in PLACE_NAMES
     )
-)
+
+
+TYPED_PLACES = f"SELECT {typed_places()} FROM raw_places"
 
 AIRPORT_WORDS = [
     ("AP", ["Airport", "Tradeport", "Heliport", "Airpor", "Arpt"]),
@@ -74,7 +78,9 @@ AIRPORT_WORDS = [
     ("AS", ["Airpark", "Aero Park"]),
     ("FL", ["Field", "Fld"]),
 ]
-MILITARY = ("Base Aaf AFs Ahp Afb LRRS Lrrs Arb Naf NAS Nas Jrb Ns As Cgas Angb").split()
+# Words in the names of military fields.
+MILITARY = ["Base", "Aaf", "AFs", "Ahp", "Afb", "LRRS", "Lrrs", "Arb", "Naf", "NAS", "Nas", "Jrb",
+            "Ns", "As", "Cgas", "Angb"]
 
 
 def administration(regional):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tabq.functions.predicates import as_column, is_empty, text
 
-DATE_TIME_FORMAT = "d/M/yyyy HH:mm"
+DATE_TIME = r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{2}:\d{2})$"  # day/month/year hour:minute
 WHOLE_NUMBER = r"^\s*([+-]?[0-9]+)(\.[0-9]*)?\s*$"
 
 
@@ -36,6 +36,10 @@ def quantity(c):
     return F.when(is_empty(c), F.lit(0)).otherwise(to_whole(c))
 
 
-def date_time(c, fmt=DATE_TIME_FORMAT):
-    """Date text to timestamp: empty or unreadable text is NULL."""
-    return F.when(~is_empty(c), F.try_to_timestamp(text(c), F.lit(fmt)))
+def date_time(c):
+    """Date text to a timestamp without zone: empty or unreadable text is NULL.
+
+    Without a zone the hour is the one that is written, whatever the session's zone.
+    """
+    ordered = F.regexp_replace(text(c), DATE_TIME, "$3-$2-$1 $4:00")
+    return F.when(text(c).rlike(DATE_TIME), ordered.try_cast("timestamp_ntz"))

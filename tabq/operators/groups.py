@@ -36,8 +36,15 @@ def mode_per_group(df, group, value, output=None):
 
 
 def mode_of_counts(counts, group, value, output=None, n="n", with_count=False):
-    """The same from (group, value, n) rows. An empty group list gives one row for the table."""
-    best = F.min(F.struct((-F.col(n)).alias("n"), as_column(value).alias("value")))
+    """The same from (group, value, n) rows. An empty group list gives one row for the table.
+
+    NULL wins only with a count that no other value has.
+    """
+    value_column = as_column(value)
+    best = F.min(
+        F.struct((-F.col(n)).alias("n"), value_column.isNull().alias("none"),
+                 value_column.alias("value"))
+    )
     winners = counts.groupBy(*_list(group)).agg(best.alias("_best"))
     kept = [as_column(c) for c in _list(group)] + [F.col("_best.value").alias(output or value)]
     if with_count:
@@ -45,21 +52,17 @@ def mode_of_counts(counts, group, value, output=None, n="n", with_count=False):
     return winners.select(*kept)
 
 
-def top_per_group(df, group, value, salts=SALTS):
+def top_per_group(df, group, value, salts=1):
     """All rows whose value is the highest of their group, ties included.
 
-    The group maxima are joined back on (group, value). Rows are spread over ``salts`` parts per
-    group, so that many equal rows of one group do not meet in one task.
+    The group maxima are joined back on (group, value). With ``salts`` above 1 the rows of a group
+    are spread over that many parts by their number, so that many equal rows do not meet in one
+    task. Rows that come out of a groupBy need none.
     """
     keys = _list(group)
-    best = (
-        df.groupBy(*keys)
-        .agg(F.max(value).alias(value))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    spread = F.xxhash64(*[as_column(c) for c in df.columns])
-    salted = df.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
-    left, right = salted.alias("l"), best.alias("r")
+    best = df.groupBy(*keys).agg(F.max(value).alias(value))
+    left, best = _spread(df, best, salts)
+    left, right = left.alias("l"), best.alias("r")
     same = F.col("l._salt") == F.col("r._salt")
     for c in keys:
         same = same & F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`"))
@@ -67,15 +70,26 @@ def top_per_group(df, group, value, salts=SALTS):
     return left.join(right, same, "left_semi").drop("_salt")
 
 
-def matches_any_group_max(df, group, value, copies="copies"):
+def matches_any_group_max(df, group, value, copies="copies", salts=SALTS):
     """Rows whose value equals the highest value of any group, their own or not.
 
     Joining on the value alone yields each row once per matching group. Those equal rows are kept
-    as one with their number in ``copies``, so the output does not grow with the square.
+    as one with their number in ``copies``, so the output does not grow with the square. A value
+    that very many rows share is spread over ``salts`` parts.
     """
     maxima = df.groupBy(*_list(group)).agg(F.max(value).alias("_max"))
     per_value = maxima.groupBy("_max").agg(F.count(F.lit(1)).alias(copies))
-    return df.join(per_value, F.col(value) == F.col("_max")).drop("_max")
+    left, right = _spread(df, per_value, salts, "_salt2")
+    same = (F.col(value) == F.col("_max")) & (F.col("_salt") == F.col("_salt2"))
+    return left.join(right, same).drop("_max", "_salt", "_salt2")
+
+
+def _spread(df, other, salts, other_name="_salt"):
+    """df with a salt by row number, and other once for each salt."""
+    number = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    all_salts = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    return (df.withColumn("_salt", number if salts > 1 else F.lit(0)),
+            other.withColumn(other_name, all_salts if salts > 1 else F.lit(0)))
 
 
 def ratio(df, part, whole, output="ratio"):

@@ -1,6 +1,7 @@
 """Profiles of label columns."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tabq.functions.predicates import as_column, literal, quoted
 from tabq.functions.strings import occurrences_json
@@ -8,6 +9,8 @@ from tabq.operators.groups import top
 
 # The labels that are counted.
 LABELS = ["M", "F", "I", "S", "T"]
+ALL_LABELS = ["M", "MN", "F", "I", "S", "T", "A", "C", "N"]
+PASSED = "passed"
 
 
 def label_columns(df):
@@ -17,16 +20,25 @@ def label_columns(df):
 def label_counts(df, labels=LABELS, columns=None, weight=None, start=0):
     """(label, column, position, n): exact matches for every label and column, zeros included.
 
-    With ``weight`` each row counts as that many. Positions are numbered from ``start``.
+    Values that are no label are left out before rows are made of them. With ``weight`` each row counts as that many. Positions are numbered from ``start``.
     """
     columns = df.columns if columns is None else columns
     held = _can_hold(df, columns, labels)
+    held = [c for c in columns if c in held]
+    wanted = ", ".join(literal(l) for l in labels)
+    hits = ", ".join(
+        f"CASE WHEN CAST({quoted(c)} AS STRING) IN ({wanted}) THEN "
+        f"named_struct('place', {i}, 'label', CAST({quoted(c)} AS STRING)) END"
+        for i, c in enumerate(held)
+    )
+    rows = "1" if weight is None else quoted(weight)
     counts = (
-        melt(df, held, weight)
-        .filter(F.col("value").isin(list(labels)))
-        .groupBy("place", F.col("value").alias("label"))
-        .agg(F.sum("weight").alias("found"))
+        df.selectExpr(f"explode(array_compact(array({hits}))) AS hit", f"CAST({rows} AS BIGINT) AS n")
+        .groupBy("hit.place", "hit.label")
+        .agg(F.sum("n").alias("found"))
         .select(name_of(held), "label", "found")
+        if held
+        else df.sparkSession.createDataFrame([], "column string, label string, found bigint")
     )
     cells = ", ".join(
         f"({literal(l)}, {literal(c)}, {i})" for i, c in enumerate(columns, start) for l in labels
@@ -37,11 +49,13 @@ def label_counts(df, labels=LABELS, columns=None, weight=None, start=0):
 
 
 def _can_hold(df, columns, labels):
-    """Leave out numbers if all labels are single letters, which no number is written as."""
+    """Leave out numbers if all labels are single letters, which no number is written as.
+
+    Text of any collation can hold labels; they are compared byte by byte.
+    """
     if not all(len(l) == 1 and l.isalpha() for l in labels):
-        return columns
-    types = dict(df.dtypes)
-    return [c for c in columns if types[c] == "string"]
+        return set(columns)
+    return {f.name for f in df.schema if isinstance(f.dataType, StringType)} & set(columns)
 
 
 def star_label_counts(star, labels=LABELS, only_labels=False):
@@ -82,10 +96,18 @@ def name_of(columns):
     return F.expr(f"element_at(array({names}), place + 1) AS column")
 
 
-def frequency(df, columns=None):
-    """How often each value occurs in each label column."""
+def frequency(df, columns=None, labels=ALL_LABELS, full=False):
+    """How often each label occurs in each label column; all other values count as PASSED.
+
+    ``full`` counts every value by itself. Label columns pass the source's values through, so that
+    result can be as large as the table.
+    """
     columns = label_columns(df) if columns is None else columns
-    counts = melt(df, columns).groupBy("place", "value").agg(F.sum("weight").alias("n"))
+    values = melt(df, columns)
+    if not full:
+        known = F.col("value").isin(list(labels))
+        values = values.withColumn("value", F.when(known, F.col("value")).otherwise(PASSED))
+    counts = values.groupBy("place", "value").agg(F.sum("weight").alias("n"))
     return counts.select(name_of(columns), "value", "n")
 
 

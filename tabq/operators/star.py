@@ -5,10 +5,12 @@ No join carries a broadcast hint: Catalyst broadcasts a dimension only if its si
 """
 
 from dataclasses import dataclass
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
+
+NULL_PARTS = 64
 
 
 def prefixed(df, prefix):
@@ -24,14 +26,6 @@ class Dimension:
     foreign_key: str
     key: str
 
-    @cached_property
-    def is_small(self):
-        """Whether the optimizer's size estimate is below the session's broadcast threshold."""
-        session = self.table._jdf.sparkSession()
-        limit = session.sessionState().conf().autoBroadcastJoinThreshold()
-        plan = self.table._jdf.queryExecution().optimizedPlan()
-        return int(str(plan.stats().sizeInBytes())) <= limit
-
 
 @dataclass(frozen=True)
 class Measure:
@@ -59,80 +53,73 @@ class Star:
     def join(self, *prefixes, salts=1):
         """All fact rows with the columns of the named dimensions (default: of all of them).
 
-        Adaptive execution splits skewed keys. ``salts`` above 1 spreads every key over that many
-        parts beforehand, at the price of as many copies of each dimension.
+        Rows whose foreign key is NULL are spread over NULL_PARTS parts; they match nothing.
+        Adaptive execution splits other skewed keys. ``salts`` above 1 spreads every key over that
+        many parts beforehand, at the price of as many copies of each dimension. Rows are spread by
+        their number, so equal rows are spread too.
         """
-        joined = self.fact
-        if salts > 1:
-            row = F.xxhash64(*self.fact.columns)
-            joined = joined.withColumn("_salt", F.pmod(row, F.lit(salts)).cast("int"))
+        joined = self.fact.withColumn("_number", F.monotonically_increasing_id())
         for d in self._dims(prefixes):
-            table, same = d.table, F.col(d.foreign_key) == F.col(d.key)
-            if salts > 1:
-                parts = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-                table = table.withColumn(f"{d.prefix}_salt", parts)
-                same = same & (F.col("_salt") == F.col(f"{d.prefix}_salt"))
-            joined = joined.join(table, same, "left")
-            if salts > 1:
-                joined = joined.drop(f"{d.prefix}_salt")
-        return joined.drop("_salt") if salts > 1 else joined
+            spread = F.pmod("_number", F.lit(salts))
+            nulls = F.lit(-1) - F.pmod("_number", F.lit(NULL_PARTS))
+            part = F.when(F.col(d.foreign_key).isNull(), nulls).otherwise(spread).cast("int")
+            parts = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))) if salts > 1 else F.lit(0)
+            table = d.table.withColumn(f"{d.prefix}_part", parts)
+            same = (F.col(d.foreign_key) == F.col(d.key)) & (part == F.col(f"{d.prefix}_part"))
+            joined = joined.join(table, same, "left").drop(f"{d.prefix}_part")
+        return joined.drop("_number")
 
     def combinations(self, *prefixes):
         """The distinct foreign keys of the fact, joined to their dimensions."""
         dims = self._dims(prefixes)
         keys = self.fact.select(*[d.foreign_key for d in dims]).distinct()
-        return Star(keys, dims).join()
+        return Star(keys, dims)._reduced_join()
 
-    def aggregate(self, by, measures, where=None, reduce_first=None):
+    def aggregate(self, by, measures, where=None):
         """Group by fact and dimension columns; dimensions no output needs are not joined.
 
         ``by`` maps output names to a column name or, for fact columns, an expression.
 
-        If all dimensions are small enough to be broadcast, they are joined in place and the fact
-        is shuffled once, after partial aggregation. Otherwise the fact is first summed up per
-        foreign key, on the map side too, so the joins see one row per key and a key that holds a
-        large part of all rows (or NULL) is as light as any other. ``reduce_first`` overrules the
-        choice.
+        The fact is first summed up per foreign key, on the map side too, so the joins see one row
+        per key and a key that holds a large part of all rows (or NULL) is as light as any other.
+        Results have the types of the same aggregates over the plain join.
         """
         fact = self.fact if where is None else self.fact.filter(where)
         wanted = [c for c in by.values() if isinstance(c, str)]
         wanted += [m.column for m in measures.values() if m.column]
         dims = [d for d in self.dimensions.values() if any(c in d.table.columns for c in wanted)]
-        on_dims = {c for d in dims for c in d.table.columns}
+        home = {c: d.table for d in dims for c in d.table.columns}
 
         local = {
             name: c if isinstance(c, Column) else F.col(c)
             for name, c in by.items()
-            if isinstance(c, Column) or c not in on_dims
+            if isinstance(c, Column) or c not in home
         }
-        fact_columns = sorted(
-            {m.column for m in measures.values() if m.column and m.column not in on_dims}
-        )
-        if reduce_first is None:
-            reduce_first = not all(d.is_small for d in dims)
-        if dims and not reduce_first:
-            joined = Star(fact, dims).join()
-            groups = [(local[n] if n in local else F.col(c)).alias(n) for n, c in by.items()]
-            return joined.groupBy(*groups).agg(
-                *[_direct(m).alias(name) for name, m in measures.items()]
-            )
-
         keys = list(dict.fromkeys(d.foreign_key for d in dims))
         groups = [c.alias(name) for name, c in local.items()] + [F.col(k) for k in keys]
-        parts = [F.count(F.lit(1)).alias("_rows")]
-        for c in fact_columns:
-            parts += [F.sum(c).alias(f"_sum_{c}"), F.count(c).alias(f"_count_{c}")]
-        reduced = fact.groupBy(*groups).agg(*parts)
+        plans = {name: _Plan(m, home.get(m.column, fact), m.column in home)
+                 for name, m in measures.items()}
+        parts = {"_rows": F.count(F.lit(1))}
+        for plan in plans.values():
+            parts |= plan.parts()
+        reduced = fact.groupBy(*groups).agg(*[c.alias(name) for name, c in parts.items()])
         if not dims:
             return reduced.select(
-                *local, *[_read(m).alias(name) for name, m in measures.items()]
+                *local, *[plan.result(lambda part: part).alias(name) for name, plan in plans.items()]
             )
-        joined = Star(reduced, dims).join()
+        joined = Star(reduced, dims)._reduced_join()
         final = [F.col(name) if name in local else F.col(by[name]).alias(name) for name in by]
         return joined.groupBy(*final).agg(
-            *[_merge(m, on_dims).alias(name) for name, m in measures.items()]
+            *[plan.result(F.sum).alias(name) for name, plan in plans.items()]
         )
 
+    def _reduced_join(self):
+        """A join of few rows per key, which need no spreading."""
+        joined = self.fact
+        for d in self.dimensions.values():
+            joined = joined.join(d.table, F.col(d.foreign_key) == F.col(d.key), "left")
+        return joined
+
     def slices(self):
         """The joined star as separate parts: (rows, columns, weight).
 
@@ -142,39 +129,45 @@ class Star:
         yield self.fact, self.fact.columns, None
         for d in self.dimensions.values():
             met = self.fact.groupBy(d.foreign_key).agg(F.count(F.lit(1)).alias("_rows"))
-            yield Star(met, [d]).join(), d.table.columns, "_rows"
+            yield Star(met, [d])._reduced_join(), d.table.columns, "_rows"
 
     def _dims(self, prefixes):
         return [self.dimensions[p] for p in prefixes or self.dimensions]
 
 
-def _direct(m):
-    """A measure over plain rows."""
-    if m.kind == "count":
-        return F.count(F.lit(1))
-    return {"sum": F.sum, "avg": F.avg}[m.kind](m.column)
-
-
-def _read(m):
-    """A measure from the parts of its one group."""
-    if m.kind == "count":
-        return F.col("_rows")
-    if m.kind == "sum":
-        return F.col(f"_sum_{m.column}")
-    return F.try_divide(F.col(f"_sum_{m.column}").cast("double"), F.col(f"_count_{m.column}"))
-
-
-def _merge(m, on_dims):
-    """A measure from the parts of many groups."""
-    if m.kind == "count":
-        return F.sum("_rows")
-    if m.column in on_dims:
-        value = F.col(m.column)
-        whole = F.sum(value * F.col("_rows"))
-        present = F.sum(F.when(value.isNotNull(), F.col("_rows")))
-    else:
-        whole = F.sum(f"_sum_{m.column}")
-        present = F.sum(f"_count_{m.column}")
-    if m.kind == "sum":
-        return whole
-    return F.try_divide(whole.cast("double"), present)
+class _Plan:
+    """One measure: what is summed up per foreign key, and the result from those parts."""
+
+    def __init__(self, measure, table, on_dimension):
+        self.kind, self.column, self.weighted = measure.kind, measure.column, on_dimension
+        if self.column:
+            kinds = table.select(F.sum(self.column).alias("sum"), F.avg(self.column).alias("avg"))
+            self.type = kinds.schema[self.kind].dataType
+            self.exact = isinstance(self.type, DecimalType)
+
+    def _value(self):
+        """Means of other numbers than decimals are formed from doubles, which do not overflow."""
+        value = F.col(self.column)
+        return value if self.kind == "sum" or self.exact else value.cast("double")
+
+    def _names(self):
+        return f"_{self.kind}_{self.column}", f"_count_{self.column}"
+
+    def parts(self):
+        if not self.column or self.weighted:
+            return {}
+        total_name, count_name = self._names()
+        return {total_name: F.sum(self._value()), count_name: F.count(self.column)}
+
+    def result(self, merged):
+        """``merged`` sums the parts of many groups, or reads those of one."""
+        if self.kind == "count":
+            return F.coalesce(merged(F.col("_rows")), F.lit(0).cast("bigint"))
+        if self.weighted:
+            present = F.when(F.col(self.column).isNotNull(), F.col("_rows"))
+            whole, rows = merged(self._value() * F.col("_rows")), merged(present)
+        else:
+            whole, rows = (merged(F.col(name)) for name in self._names())
+        if self.kind == "sum":
+            return whole.cast(self.type)
+        return F.try_divide(whole, rows.cast("decimal(20,0)") if self.exact else rows).cast(self.type)

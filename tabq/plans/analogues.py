@@ -5,7 +5,7 @@ projection of tables that are. The expressions are plain SQL that Spark and othe
 same way. Dirt (missing, malformed and out-of-range values) follows from remainders of the keys, so
 it grows with the data and is the same on every run.
 
-A table joins only what the requested columns need.
+A table joins only what the requested columns need, and keeps rows without a match.
 """
 
 from pyspark.sql import functions as F
@@ -64,12 +64,12 @@ class Analogue:
         df = tables(self.base)
         for table in self._needed(columns):
             other, left, right = self.joins[table]
-            df = df.join(tables(table), F.col(left) == F.col(right))
+            df = df.join(tables(table), F.col(left) == F.col(right), "left")
         return df.selectExpr([f"{self.columns[c][0]} AS `{c}`" for c in columns])
 
     def sql(self):
         """The whole table as ANSI SQL."""
-        joins = " ".join(f"JOIN {t} ON {l} = {r}" for t, (_, l, r) in self.joins.items())
+        joins = " ".join(f"LEFT JOIN {t} ON {l} = {r}" for t, (_, l, r) in self.joins.items())
         listed = ", ".join(f'{e} AS "{c}"' for c, (e, _) in self.columns.items())
         return f"SELECT {listed} FROM {self.base} {joins}"
 
@@ -208,11 +208,11 @@ def _share(i):
 
 
 _PLACE_COLUMNS = {
-    "state": ("n_name", "nation"),
+    "state": (_text("1 + (CAST(floor(c_custkey / 40) AS BIGINT) + c_custkey % 3) % 50"), None),
     "county": (dirty("c_custkey", 3, {1: "?"}, _text("c_custkey % 300")), None),
-    "community": (dirty("c_custkey", 7, {1: "?"}, _text("c_custkey % 90000")), None),
+    "community": (dirty("c_custkey", 97, {1: "?"}, _text("c_custkey % 90000")), None),
     "communityname": (
-        f"'Place' || {_text('CAST(floor(c_custkey / 4) AS BIGINT)')} || 'city'", None),
+        f"'Place' || {_text('CAST(floor(c_custkey / 40) AS BIGINT)')} || 'city'", None),
     "fold": (_text("1 + c_custkey % 10"), None),
 }
 
@@ -253,8 +253,9 @@ FLIGHTS = Analogue(
             "flight": dirty("l_orderkey", 59, {1: None}, _whole("l_orderkey % 5000")),
             "origin": dirty("l_orderkey", 53, {1: None, 2: "A1", 3: "__!"},
                             airport_code("l_suppkey")),
-            "dest": dirty("l_orderkey", 47, {1: None, 2: "ABCD", 3: "__!"},
-                          airport_code("CAST(floor(l_suppkey / (1 + l_linenumber % 3)) AS BIGINT)")),
+            "dest": dirty("l_orderkey", 4700, {48: None}, dirty(
+                "l_orderkey", 4700, {2: "ABCD", 3: "__!"},
+                airport_code("CAST(floor(l_suppkey / (1 + l_linenumber % 3)) AS BIGINT)"))),
             "air_time": dirty("l_orderkey", 41, {1: None, 2: 19, 3: 501},
                               _whole(f"floor(({_MILES}) / 10) + 5 + l_orderkey % 40")),
             "distance": dirty("l_orderkey", 43, {1: None, 2: 49, 3: 3001}, _whole(_MILES)),
@@ -303,10 +304,12 @@ AIRPORTS_DIRTY = _airports(
     dirty("s_suppkey", 13, {1: None, 2: 14.0}, _TZ),
 )
 
+# Domains of the plane columns, with wrong ones among them.
 _TYPES = ["Fixed wing multi engine", "fixed wing single engine", "Rotorcraft", "Glider", None, ""]
 _MAKERS = ["AIRBUS", "BOEING", "AIRBUS INDUSTRIE", "CANADAIR", "BOMBARDIER", "MCDONNELL DOUGLAS",
            "BOEING%", "CESSNA", "ACME", None, "", "BARKER JACK"]
-_MODELS = ["A320", "320", "737", "CL-600", "MD-88", "DC 9", None, "DC-9", "", "747", "A319"]
+_MODELS = ["A320", "320", "737", "A320", "CL-600", "MD-88", "DC 9", None, "DC-9", "", "747", "A319",
+           "A320"]
 _ENGINES = ["Turbo-fan", "Turbo-jet", "Turbo-prop", "Turbo-shaft", "4 Cycle", "Reciprocating",
             "Turbo-fan%", None, ""]
 _TAIL = f"'N' || {_text('p_partkey')}"

@@ -152,7 +152,7 @@ def derive_flight_columns(df, hauls=HAULS, delays=DELAYS, seasons=SEASONS):
     parts = [to_number(c, "int") for c in ("year", "month", "day", "hour", "minute")]
     return df.withColumns(
         {
-            "dep_datetime": F.try_make_timestamp(*parts, F.lit(0)),
+            "dep_datetime": F.try_make_timestamp_ntz(*parts, F.lit(0)),
             "haul_duration": up_to(to_number("air_time", "int"), hauls, LONGEST_HAUL),
             "dep_season": season(to_number("month", "int"), seasons),
             "dep_delay_category": up_to(to_number("dep_delay", "int"), delays, LONGEST_DELAY),

@@ -234,7 +234,7 @@ def _(s):
 
 
 def _dates_as_text(df, column):
-    return df.withColumn(column, F.date_format(column, "yyyy-MM-dd HH:mm"))
+    return df.withColumn(column, F.substring(F.col(column).cast("string"), 1, 16))
 
 
 @query("clean_sales")
@@ -251,14 +251,14 @@ def _(s):
 
 @query("clean_places")
 def _(s):
-    return s.typed_places()
+    """The whole pipeline of a places table: labels of all columns, then types."""
+    return cleaning.clean_places(s.places())
 
 
 @query("clean_places_float")
 def _(s):
-    """Single precision, as a count per value of one column."""
-    typed = cleaning.type_all(s.places("communityname", "population"), dtype="float")
-    return typed.groupBy("population").agg(F.count(F.lit(1)).alias("n"))
+    """All columns in single precision."""
+    return cleaning.type_all(s.places(), dtype="float")
 
 
 @query("flag_self_employed")
@@ -344,7 +344,7 @@ def _(s):
 
 @query("profile_row_counts")
 def _(s):
-    return profile.row_counts(flights=s.raw_flights(), sales=s.sales("InvoiceNo"))
+    return profile.row_counts(trips=s.trips().join(), airports=s.frame(analogues.AIRPORTS))
 
 
 @query("profile_value_json")
@@ -473,10 +473,10 @@ def _(s):
 @query("sql_over_view")
 def _(s):
     """A rule in SQL over a registered table."""
-    files.publish(airports_view=s.dirty_airports())
     return s.spark.sql(
         "SELECT CASE WHEN tz IS NULL THEN 'M' WHEN tz <= -11 OR tz >= 14 THEN 'I' "
-        "ELSE CAST(tz AS STRING) END AS qa_tz, count(*) AS n FROM airports_view GROUP BY 1"
+        "ELSE CAST(tz AS STRING) END AS qa_tz, count(*) AS n FROM {airports} GROUP BY 1",
+        airports=s.dirty_airports(),
     )
 
 
@@ -663,6 +663,5 @@ for _side in ("origin", "dest"):
             _flight("fr08", side=_side, late_only=_late),
         )
 del QUERIES["fr08"]
-_register("fr11_first", _flight("fr11", limit=200))
 _register("fr28_compat", _flight("fr28", keyed=False))
 _register("fr30_compat", _flight("fr30", keyed=False))

@@ -73,8 +73,7 @@ def mq12_race_of_violent_places(places, n=10):
     violent = places.filter((F.col("ViolentCrimesPerPop") > 0) & (F.col("population") > 0))
     worst = violent.groupBy(*PLACE).agg(F.max(crime).alias("crime"))
     worst = top(worst, "crime", n, ties=PLACE).select(*PLACE)
-    # n rows, so the broadcast is bounded
-    at_worst = dominant_race(places).drop("state").join(F.broadcast(worst), "communityname")
+    at_worst = dominant_race(places).drop("state").join(worst, "communityname")
     counts = at_worst.groupBy(*PLACE, "max_pctRace").agg(F.count(F.lit(1)).alias("n"))
     winners = mode_of_counts(counts, PLACE, "max_pctRace", "race")
     place = F.replace("communityname", F.lit("city"), F.lit("")).alias("place")

@@ -129,10 +129,8 @@ def fr10_air_time_by_dest_region(flights):
     return _mean_air_time(flights, {"region": DEST})
 
 
-def fr11_air_time_by_route(flights, limit=None):
-    """``limit`` shows only the first routes."""
-    routes = _mean_air_time(flights, ROUTE)
-    return routes if limit is None else routes.orderBy(*ROUTE).limit(limit)
+def fr11_air_time_by_route(flights):
+    return _mean_air_time(flights, ROUTE)
 
 
 def fr12_air_time_by_year(flights):

@@ -1,5 +1,8 @@
 """CSV and Parquet in and out, views, and tables handed from one step to the next."""
 
+import uuid
+from urllib.parse import urlsplit
+
 from pyspark.sql import functions as F
 
 
@@ -32,17 +35,29 @@ def handoff(df, name, base=None):
     """Write a table once and return it as read back, so that later steps share the work.
 
     The table goes to the shared folder the cluster names in ``spark.checkpoint.dir`` unless
-    ``base`` names another one. It outlives lost executors and has no lineage behind it.
+    ``base`` names another one. It outlives lost executors and has no lineage behind it. Every call
+    writes a new subfolder, so a table can be handed over under the name it was read from, and jobs
+    with one name do not meet. A folder of one machine is refused unless Spark runs on one.
     """
     spark = df.sparkSession
     base = base or spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         raise ValueError("set spark.checkpoint.dir to a shared folder, or pass base")
-    path = f"{base.rstrip('/')}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    if is_local(base, spark) and base != spark.conf.get("spark.checkpoint.dir", None):
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError(f"{base} is a folder of one machine; executors do not share it")
+    path = f"{base.rstrip('/')}/{name}/{uuid.uuid4()}"
+    df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 
 
+def is_local(path, spark):
+    """Whether the path is on a machine's own disk: by its scheme, else by the default file system."""
+    scheme = urlsplit(path).scheme or urlsplit(
+        spark.conf.get("spark.hadoop.fs.defaultFS", "file:///")).scheme
+    return scheme == "file"
+
+
 def rows(spark, values, schema):
     """A table from rows in memory. The schema is required: a column of only NULLs has no type."""
     return spark.createDataFrame(values, schema)

@@ -73,6 +73,19 @@ def test_money_and_quantity(spark):
     assert column_of(spark, counts, convert.quantity("x")) == [3, 0, 0, -2, None, 2, None]
 
 
+def test_hours_do_not_depend_on_the_zone(spark):
+    df = spark.createDataFrame([("27/3/2011 01:30",)], "x string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Europe/London"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert df.select(F.hour(convert.date_time("x"))).first()[0] == 1
+            made = F.try_make_timestamp_ntz(*map(F.lit, (2011, 3, 27, 1, 30)), F.lit(0))
+            assert df.select(F.hour(made)).first()[0] == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_date_time(spark):
     dates = ["1/12/2010 08:26", "1/12/2010 8:26", "", None, "31/2/2010 08:26", "text"]
     assert column_of(spark, dates, convert.date_time("x")) == [

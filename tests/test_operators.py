@@ -122,42 +122,65 @@ def test_star_keeps_every_fact_row(star):
     {"from": "o_region", "to": "d_region"},
     {"origin": "fl_origin"},
 ])
-@pytest.mark.parametrize("reduce_first", [True, False])
-def test_star_aggregate_equals_aggregate_of_join(star, by, reduce_first):
+def test_star_aggregate_equals_aggregate_of_join(star, by):
     where = F.col("fl_delay") >= 0
     measures = {"n": count(), "sum": total("fl_delay"), "mean": mean("fl_delay")}
     direct = star.join().filter(where).groupBy(*[F.col(c).alias(n) for n, c in by.items()]).agg(
         F.count("*").alias("n"), F.sum("fl_delay").alias("sum"), F.avg("fl_delay").alias("mean"))
-    assert bag(star.aggregate(by, measures, where, reduce_first)) == bag(direct)
+    assert bag(star.aggregate(by, measures, where)) == bag(direct)
 
 
 def test_star_aggregate_of_dimension_measures(star):
     measures = {"sum": total("d_size"), "mean": mean("d_size")}
     direct = star.join().groupBy(F.col("o_region").alias("region")).agg(
         F.sum("d_size").alias("sum"), F.avg("d_size").alias("mean"))
-    for reduce_first in (True, False):
-        found = star.aggregate({"region": "o_region"}, measures, reduce_first=reduce_first)
-        assert bag(found) == bag(direct)
-
-
-def test_star_reduces_first_unless_dimensions_are_small(spark, star):
-    def joins_reduced_rows():
-        fresh = Star(star.fact, [Dimension(d.prefix, d.table, d.foreign_key, d.key)
-                                 for d in star.dimensions.values()])
-        plan = fresh.aggregate({"region": "d_region"}, {"sum": total("fl_delay")})
-        return "_sum_fl_delay" in plan._jdf.queryExecution().optimizedPlan().toString()
-
+    assert bag(star.aggregate({"region": "o_region"}, measures)) == bag(direct)
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+@pytest.mark.parametrize("column", ["fl_price", "fl_big", "fl_real", "d_price", "d_big"])
+def test_star_aggregate_has_the_types_of_the_plain_join(spark, column, threshold):
+    fact = spark.sql("""SELECT * FROM VALUES ('A', 1.25, 9000000000000000000, 0.5F),
+        ('A', 2.50, 9000000000000000000, 1.5F), ('B', NULL, NULL, NULL), (NULL, 7.77, 1, 2F)
+        AS t(fl_at, fl_price, fl_big, fl_real)""")
+    place = spark.sql("""SELECT * FROM VALUES ('A', 'r', 10.10, 5), ('B', 'r', NULL, 7)
+        AS t(d_code, d_region, d_price, d_big)""").withColumn("d_big", F.col("d_big").cast("long"))
+    star = Star(fact, [Dimension("d_", place, "fl_at", "d_code")])
+    measures = {"mean": mean(column)}
+    direct = [F.avg(column).alias("mean")]
+    if column != "fl_big":  # its sum does not fit
+        measures["sum"] = total(column)
+        direct.append(F.sum(column).alias("sum"))
     name = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(name)
     try:
-        spark.conf.set(name, "-1")
-        assert joins_reduced_rows()
-        spark.conf.set(name, "10MB")
-        assert not joins_reduced_rows()
+        spark.conf.set(name, threshold)
+        found = star.aggregate({"region": "d_region"}, measures)
+        plain = star.join().groupBy(F.col("d_region").alias("region")).agg(*direct)
+        assert found.dtypes == plain.dtypes
+        assert bag(found) == bag(plain)
     finally:
         spark.conf.set(name, before)
 
 
+def test_equal_rows_and_null_keys_are_spread(spark):
+    """A join by (key, part) sends the rows of one key to as many tasks as it has parts."""
+    equal = spark.range(1000).select(F.lit("A").alias("k"), F.lit(1).alias("v"))
+    left, right = groups._spread(equal, equal.limit(1), 8)
+    assert left.select("_salt").distinct().count() == 8 == right.count()
+    place = spark.sql("SELECT 'A' AS d_k")
+    star = Star(spark.range(1000).select(F.lit(None).cast("string").alias("f_k")),
+                [Dimension("d_", place, "f_k", "d_k")])
+    assert star.join().count() == 1000
+    assert bag(groups.top_per_group(equal, "k", "v", salts=8)) == bag(equal)
+
+
+def test_null_wins_no_tie(spark):
+    df = spark.createDataFrame([("x", None, 2), ("x", "b", 2), ("y", None, 3), ("y", "b", 1)],
+                               "g string, v string, n int")
+    assert bag(groups.mode_of_counts(df, "g", "v")) == Counter([("x", "b"), ("y", None)])
+
+
 def test_star_aggregate_joins_only_what_it_needs(star):
     plan = star.aggregate({"origin": "fl_origin"}, {"n": count()})
     assert "Join" not in plan._jdf.queryExecution().optimizedPlan().toString()
@@ -181,6 +204,12 @@ def test_label_counts(spark):
     assert {(r.label, r.column) for r in two.collect() if r.n} == {("MY", "qa_b"), ("3", "c")}
 
 
+def test_label_counts_of_collated_text(spark):
+    df = spark.sql("SELECT qa_a COLLATE UTF8_LCASE AS qa_a FROM VALUES ('M'), ('m') AS t(qa_a)")
+    counts = {r.label: r.n for r in profile.label_counts(df, ["M", "F"]).collect()}
+    assert counts == {"M": 1, "F": 0}
+
+
 def test_worst_column(spark):
     df = spark.createDataFrame([("M", "M"), ("M", "M")], "qa_b string, qa_a string")
     counts = profile.label_counts(df)
@@ -201,8 +230,9 @@ def test_star_profile_equals_profile_of_join(spark, star):
 
 def test_frequency_and_own_name(spark):
     df = spark.createDataFrame([("M", "qa_b1"), ("M", None)], "qa_a string, qa_b string")
-    assert bag(profile.frequency(df)) == Counter(
+    assert bag(profile.frequency(df, full=True)) == Counter(
         [("qa_a", "M", 2), ("qa_b", "qa_b1", 1), ("qa_b", None, 1)])
+    assert bag(profile.frequency(df)) == Counter([("qa_a", "M", 2), ("qa_b", "passed", 2)])
     assert bag(profile.starts_with_own_name(df)) == Counter(
         [("qa_a", False, 2), ("qa_b", True, 1), ("qa_b", None, 1)])
 

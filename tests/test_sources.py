@@ -48,6 +48,23 @@ def test_parquet_does_not_overwrite(spark, tmp_path):
         files.write_parquet(df, path)
 
 
+def test_handoff_under_its_own_name_keeps_both_versions(spark, tmp_path):
+    first = files.handoff(spark.range(4).toDF("n"), "numbers", str(tmp_path))
+    second = files.handoff(first.filter("n > 1"), "numbers", str(tmp_path))
+    assert first.count() == 4 and second.count() == 2
+
+
+def test_local_folders_are_told_from_shared_ones(spark):
+    assert files.is_local("/tmp/x", spark) and files.is_local("file:///tmp/x", spark)
+    assert not files.is_local("hdfs://store/x", spark)
+
+
+def test_handoff_refuses_a_local_folder_on_a_cluster(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077", raising=False)
+    with pytest.raises(ValueError, match="one machine"):
+        files.handoff(spark.range(1), "numbers", str(tmp_path))
+
+
 def test_handoff_and_view(spark, tmp_path):
     df = spark.createDataFrame([(1,), (2,)], "n int")
     shared = files.handoff(df, "numbers")
