@@ -15,9 +15,10 @@ if a partner could be there. Sets of up to seven shingles use all subsets they c
 and so do, besides, sets of eight and nine, which can be their partners.
 
 The order comes from a sketch of fixed size that all shingles are counted in; being coarse costs
-candidates, never links. Candidates are verified exactly, in two steps. First each bucket of a
-signature forms a star around its smallest set, and the links found are closed to components. Then
-only pairs of one bucket that are still in different components are verified. So a group of many
+candidates, never links. Candidates are verified exactly, in steps. First each bucket of a
+signature forms a star around its smallest set, and the links found are closed to components; where
+a bucket holds several of them, it forms another around the set that meets the most others. Then only
+pairs of one bucket that are still in different components are verified. So a group of many
 copies costs one comparison for each of its members and bucket, not all its pairs, and no link is
 lost. A pair that could not share enough even if all shingles from its signature on agree is not
 compared; nor are sets that share frequent shingles alone, but have too few of them. Buckets that can be hot are dealt with a salt, as stars of stars.
@@ -56,7 +57,7 @@ CHUNK = 1 << 16
 SMALL = 7  # sets up to here use subsets alone
 SUBSETS = 9  # and their partners, up to here, subsets too
 SALTS = 32
-FILTER_BITS = 1 << 26  # of the filter for texts to compare
+FILTER_BITS = 1 << 24  # of the filter for texts to compare
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -316,6 +317,14 @@ def _may_link():
     return 7 * F.least("most", "most2") >= 3 * (F.col("n") + F.col("n2"))
 
 
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members, with their roots, of buckets that hold several components."""
+    known = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = known.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(
+        "low <> high").select("sig")
+    return known.join(several, "sig").select("sig", "node", "n", "most", "root")
+
+
 def _possible(met: DataFrame) -> DataFrame:
     """Distinct pairs (a, b) of sets that met and may link."""
     return met.where((F.col("node") != F.col("node2")) & _may_link()).select(
@@ -334,8 +343,10 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast((levels, frequent_from(levels)))
     signed = docs.select("text").mapInArrow(
         _sign(shared), "sig long, node long, facts long")
-    bucket = Window.partitionBy("sig", F.when(
+    # one column for the salt, so that both windows share a shuffle
+    signed = signed.withColumn("salt", F.when(
         F.col("facts") < 0, F.pmod(F.xxhash64("node"), F.lit(SALTS))).otherwise(0))
+    bucket = Window.partitionBy("sig", "salt")
     starred = signed.withColumn("lead", F.min(F.struct("node", "facts")).over(bucket)).withColumn(
         "last", F.max("node").over(bucket))
     # what is alone in its bucket has no partner; of salted buckets that shows later
@@ -363,12 +374,22 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     links = checkpoint(_links(texts, pairs))
     roots = components(links)
 
+    # Once more in buckets that hold several components, around the set that meets the most others:
+    # copies that were changed in different places may be similar to their origin only.
+    mixed = stored(_mixed(members.select("sig", "node", "n", "most").distinct(), roots))
+    met = mixed.join(mixed.groupBy("sig").agg(F.count("*").alias("size")), "sig").groupBy("node").agg(
+        F.sum("size").alias("weight"))
+    centre = mixed.join(met, "node").groupBy("sig").agg(
+        F.max(F.struct("weight", "node", "n", "most", "root")).alias("lead"))
+    starred = mixed.join(centre, "sig").select(
+        "sig", "node", "n", "most", "root", *(F.col(f"lead.{c}").alias(c + "2")
+                                              for c in ("node", "n", "most", "root")))
+    more = stored(_possible(starred.where("root <> root2")).join(pairs, ["a", "b"], "left_anti"))
+    pairs, links = pairs.union(more), links.union(checkpoint(_links(texts, more)))
+    roots = components(links)
+
     # all pairs of one bucket that the stars left in different components
-    known = members.select("sig", "node", "n", "most").distinct().join(
-        roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    heads = known.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(
-        "low <> high")
-    mixed = stored(known.join(heads.select("sig"), "sig"))
+    mixed = stored(_mixed(mixed.drop("root"), roots))
     other = mixed.select(F.col("sig").alias("sig2"), *(F.col(c).alias(c + "2")
                                                        for c in ("node", "n", "most", "root")))
     found = mixed.join(other, (F.col("sig") == F.col("sig2")) & _may_link()

@@ -10,7 +10,7 @@ fraction of its share elsewhere. Such n-grams number at most 1 / `min_share` for
 filter has a fixed size however large the corpus is; all training texts are counted.
 
 Defined results: NULL, empty or letterless texts are `und` with score 0; so is every text if nothing
-could be learnt, and a text with no known n-gram. Ties go to the language that sorts first. Equal
+could be learnt. A text with no known n-gram has score 0. Ties go to the language that sorts first. Equal
 rows get equal results, one each. An empty table gives no rows. Columns of the input that have the
 names of the new ones are replaced. Texts of any length are read whole, in pieces of bounded memory.
 """
@@ -148,8 +148,6 @@ def decide(model: Model, text: str) -> tuple[str, float]:
     wrong = model.fill ** PROBES
     true = np.clip((counts - len(keys) * wrong) / np.maximum(1 - wrong, 1e-9), 0, None) / len(keys)
     best = int(true.argmax())
-    if true[best] <= 0:
-        return UNKNOWN, 0.0
     return model.languages[best], float(min(1.0, true[best]))
 
 

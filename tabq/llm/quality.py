@@ -24,7 +24,8 @@ BUCKETS = 1 << 15
 #: Trusted labelled rows that the target table is learned from, at most (the raw table uses all).
 TARGET_DOCS = 20_000
 #: Mean log ratio under which a text goes.
-THRESHOLD = -0.35
+THRESHOLD = -0.6
+SMOOTHING = 100  # n-grams of the raw corpus that are added to the target
 MIN_WORDS = 50
 MAX_REPEATED = 50  # per cent of the words
 SYMBOLS = "#*$%&|<>"
@@ -117,15 +118,16 @@ def learn(corpus: DataFrame, trusted: DataFrame, text: str = "text", doc_id: str
               .orderBy(F.xxhash64("__id"), "__id").limit(target_docs))
     target_texts = corpus.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(
         F.broadcast(chosen), "__id", "left_semi")
-    raw, target = [1.0] * buckets, [1.0] * buckets
-    for r in _sums(target_texts, "__text", buckets).collect():
-        target[r.bucket] += r.n
-    if sum(target) == buckets:
+    target = {r.bucket: r.n for r in _sums(target_texts, "__text", buckets).collect()}
+    if not target:
         return [0.0] * buckets
-    for r in _sums(corpus, text, buckets).collect():
-        raw[r.bucket] += r.n
-    shift = math.log(sum(raw) / sum(target))
-    return [math.log(t / r) + shift for t, r in zip(target, raw, strict=True)]
+    raw = {r.bucket: r.n for r in _sums(corpus, text, buckets).collect()}
+    n, n_target, ratios = sum(raw.values()), sum(target.values()), [0.0] * buckets
+    for bucket, count in raw.items():
+        share = count / n  # the target table is smoothed towards the raw one
+        mixed = (target.get(bucket, 0) + SMOOTHING * share) / (n_target + SMOOTHING)
+        ratios[bucket] = math.log(mixed / share)
+    return ratios
 
 
 def score(df: DataFrame, ratios: list[float], text: str = "text") -> DataFrame:
