@@ -202,7 +202,7 @@ PEOPLE = Analogue(
 def _share(i):
     """A number from 0.0 to 1.0 as text, with gaps; every column has its own pattern."""
     number = _text(f"CAST((c_custkey * {2 * i + 3} + c_nationkey * {i}) % 101 AS DOUBLE) / 100")
-    if i % 5 == 4:
+    if i % 5 == 1:  # not the shares that are compared with each other
         number = f"CASE WHEN c_custkey % 5 < 3 THEN '?' ELSE {number} END"
     return dirty(f"(c_custkey + {i})", 61, {9: None, 19: "", 29: "?", 39: "1", 49: "0.5 "}, number)
 
