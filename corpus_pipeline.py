@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tabq.llm import jaccard, langid, packing, pii, quality
 from tabq.llm.common import fold, read, shared_folder
+from tabq.session import configure
 
 #: Share of a text's n-grams that its language must contain.
 LEAST_LANGUAGE = 0.3
@@ -22,6 +23,7 @@ LEAST_LANGUAGE = 0.3
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    configure(spark)  # the stage's code is wide
     trusted = read(spark, sf_dir, "labels").where(F.col("quality") == 1).select("doc_id")
     return quality.judge(docs, quality.learn(docs, trusted)).where("kept").select(docs.columns)
 
