@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabq.llm import bloomlm, bpe, chat, jaccard, langid, packing, pii, quality, topk, toxicity
+from tabq.llm import bloomlm, bpe, chat, jaccard, langid, packing, pii, quality, statements, topk, toxicity
 from tabq.llm.common import fold, read
 
 
@@ -86,5 +86,5 @@ QUERIES = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 
-#: SQL twins; the learnt verdicts have none, their queries are tested against brute force.
-STATEMENTS: dict[str, str] = {}
+#: SQL twins; the others cannot be said in SQL and are tested against brute force.
+STATEMENTS = {"op2_chat_format": statements.OP2, "op5_exact_top_k": statements.OP5}

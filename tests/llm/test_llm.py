@@ -404,3 +404,20 @@ def test_pipeline(spark, tmp_path):
     assert not any("a@b.example" in t for t in seen[3].values())
     packed = corpus_pipeline.run(spark, folder).collect()
     assert {r.doc_id for r in packed} == set(seen[3])
+
+
+# SQL twins ------------------------------------------------------------------------------------------
+
+
+def test_sql_twins(spark):
+    import pathlib
+
+    from check import compare, connect
+    from tabq.llm.queries import QUERIES, STATEMENTS
+
+    folder = "/root/testdata/sf0.001"
+    if not pathlib.Path(folder).exists():
+        pytest.skip("no test tables")
+    connection = connect(folder)
+    for name, sql in STATEMENTS.items():
+        assert compare(spark, connection, folder, name, QUERIES[name], sql) is None
