@@ -25,7 +25,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the quality rules keep."""
     configure(spark)  # the stage's code is wide
     trusted = read(spark, sf_dir, "labels").where(F.col("quality") == 1).select("doc_id")
-    return quality.judge(docs, quality.learn(docs, trusted)).where("kept").select(docs.columns)
+    judged = quality.judge(docs, quality.learn(docs, trusted))
+    # always true, but not known to be: else the filter moves down and repeats all it is made of
+    kept = judged.withColumn("__kept", F.col("kept") & (F.rand(0) >= 0))
+    return kept.where("__kept").select(docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
