@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabq.llm import jaccard, langid, packing, pii, quality
-from tabq.llm.common import fold, read, shared_folder
+from tabq.llm.common import fold, read, shared_folder, stored
 from tabq.session import configure
 
 #: Share of a text's n-grams that its language must contain.
@@ -25,10 +25,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the quality rules keep."""
     configure(spark)  # the stage's code is wide
     trusted = read(spark, sf_dir, "labels").where(F.col("quality") == 1).select("doc_id")
-    judged = quality.judge(docs, quality.learn(docs, trusted))
-    # always true, but not known to be: else the filter moves down and repeats all it is made of
-    kept = judged.withColumn("__kept", F.col("kept") & (F.rand(0) >= 0))
-    return kept.where("__kept").select(docs.columns)
+    judged = quality.judge(docs, quality.learn(docs, trusted)).withColumnRenamed("kept", "__kept")
+    # stored with all its columns: a filter on the plan would repeat the expressions it is made of
+    columns = list(dict.fromkeys([*docs.columns, *quality.COUNTS, "base_failed", "score", "__kept"]))
+    return stored(judged.select(columns)).where("__kept").select(docs.columns)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
