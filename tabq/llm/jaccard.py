@@ -21,7 +21,9 @@ a bucket holds several of them, it forms another around the set that meets the m
 pairs of one bucket that are still in different components are verified. So a group of many
 copies costs one comparison for each of its members and bucket, not all its pairs, and no link is
 lost. A pair that could not share enough even if all shingles from its signature on agree is not
-compared; nor are sets that share frequent shingles alone, but have too few of them. Buckets that can be hot are dealt with a salt, as stars of stars.
+compared; nor are sets that share frequent shingles alone, but have too few of them; nor are sets
+whose parity bits (is the number of shingles in each of BITS cells odd?) differ in more cells than
+linked sets can differ in shingles. Buckets that can be hot are dealt with a salt, as stars of stars.
 
 Sets are named by 64-bit hashes, which equal sets share: copies are one node from the start.
 
@@ -58,6 +60,8 @@ SMALL = 7  # sets up to here use subsets alone
 SUBSETS = 9  # and their partners, up to here, subsets too
 SALTS = 32
 FILTER_BITS = 1 << 24  # of the filter for texts to compare
+BITS = 512  # of a set's parities
+PARITY = [f"p{k}" for k in range(BITS // 64)]
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -86,6 +90,13 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * both >= 75 * (len(x) + len(y) - both)
 
 
+def parities(keys: np.ndarray) -> np.ndarray:
+    """Bits of the cells with an odd number of shingles, as signed 64-bit numbers. Two sets differ in at
+    least as many shingles as their bits differ in places."""
+    odd = np.bincount((mix(keys, 7) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def cells(keys: np.ndarray) -> np.ndarray:
     return (keys & np.uint64(CELLS - 1)).astype(np.int64)
 
@@ -93,26 +104,33 @@ def cells(keys: np.ndarray) -> np.ndarray:
 # --- first pass: the sets' names and sizes, and the sketch ---
 
 
+_DESCRIBED = "doc_id long, n long, node long, " + "".join(
+    f"{p} long, " for p in PARITY) + "chunk int, counts binary"
+
+
 def _describe(batches):
-    names = ["doc_id", "n", "node", "chunk", "counts"]
+    names = ["doc_id", "n", "node", *PARITY, "chunk", "counts"]
     sketch = np.zeros(CELLS, np.uint32)
     for batch in (part for whole in batches for part in slices(whole)):
-        n, node = [], []
+        n, node, bits = [], [], []
         for text in column_bytes(batch, "text"):
             keys = shingles(text)
             sketch[cells(keys)] += 1  # a set has few equal cells; one is counted
             n.append(len(keys))
             node.append(name_of(keys) if len(keys) else None)
+            bits.append(parities(keys))
         rows = len(n)
+        bits = np.array(bits, np.int64).reshape(rows, len(PARITY))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
+             *(pa.array(np.ascontiguousarray(column)) for column in bits.T),
              pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
+    nothing = [pa.nulls(1, pa.int64())] * (3 + len(PARITY))
     for chunk in range(CELLS // CHUNK):
         part = np.minimum(sketch[chunk * CHUNK:(chunk + 1) * CHUNK], 255).astype(np.uint8)
         if part.any():
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-                 pa.array([chunk], pa.int32()),
+                [*nothing, pa.array([chunk], pa.int32()),
                  pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names=names)
 
 
@@ -325,6 +343,20 @@ def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
     return known.join(several, "sig").select("sig", "node", "n", "most", "root")
 
 
+def _near(two: str):
+    """Do the parities differ in no more places than linked sets can differ in shingles? These are a
+    seventh of both sizes' sum. The other set's columns end in `two`."""
+    places = sum(F.bit_count(F.col(p).bitwiseXOR(F.col(p + two))) for p in PARITY)
+    return 7 * places <= F.col("n") + F.col("n" + two)
+
+
+def _close(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose parities are near."""
+    other = bits.select(F.col("node").alias("b"), *(F.col(c).alias(c + "2") for c in ("n", *PARITY)))
+    return pairs.join(bits.withColumnRenamed("node", "a"), "a").join(other, "b").where(
+        _near("2")).select("a", "b")
+
+
 def _possible(met: DataFrame) -> DataFrame:
     """Distinct pairs (a, b) of sets that met and may link."""
     return met.where((F.col("node") != F.col("node2")) & _may_link()).select(
@@ -335,10 +367,11 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     """doc_id, n_shingles and component_id of every row."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    described = checkpoint(docs.mapInArrow(
-        _describe, "doc_id long, n long, node long, chunk int, counts binary"))
+    described = checkpoint(docs.mapInArrow(_describe, _DESCRIBED))
     levels = _levels(described)
     rows = described.where("chunk is null").select("doc_id", "n", "node")
+    bits = described.where("node is not null").groupBy("node").agg(
+        F.min("n").cast("int").alias("n"), *(F.min(p).alias(p) for p in PARITY))
 
     shared = docs.sparkSession.sparkContext.broadcast((levels, frequent_from(levels)))
     signed = docs.select("text").mapInArrow(
@@ -367,7 +400,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         F.col("own.node").alias("node"), F.col("lead.node").alias("node2"), F.col("own.n").alias("n"),
         F.col("lead.n").alias("n2"), F.col("own.most").alias("most"),
         F.col("lead.most").alias("most2"))
-    pairs = stored(_possible(members.drop("sig").unionByName(leads)))
+    pairs = stored(_close(_possible(members.drop("sig").unionByName(leads)), bits))
     # all texts that can be compared, now or below
     texts = stored(docs.select("text").mapInArrow(
         _texts(_filter(members.select("node"))), "node long, text binary"))
@@ -384,16 +417,16 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     starred = mixed.join(centre, "sig").select(
         "sig", "node", "n", "most", "root", *(F.col(f"lead.{c}").alias(c + "2")
                                               for c in ("node", "n", "most", "root")))
-    more = stored(_possible(starred.where("root <> root2")).join(pairs, ["a", "b"], "left_anti"))
+    more = stored(_close(_possible(starred.where("root <> root2")).join(
+        pairs, ["a", "b"], "left_anti"), bits))
     pairs, links = pairs.union(more), links.union(checkpoint(_links(texts, more)))
     roots = components(links)
 
     # all pairs of one bucket that the stars left in different components
-    mixed = stored(_mixed(mixed.drop("root"), roots))
-    other = mixed.select(F.col("sig").alias("sig2"), *(F.col(c).alias(c + "2")
-                                                       for c in ("node", "n", "most", "root")))
-    found = mixed.join(other, (F.col("sig") == F.col("sig2")) & _may_link()
-                       & (F.col("root") < F.col("root2")))
+    mixed = stored(_mixed(mixed.drop("root"), roots).join(bits.drop("n"), "node"))
+    other = mixed.select(*(F.col(c).alias(c + "2") for c in mixed.columns))
+    found = mixed.join(other, (F.col("sig") == F.col("sig2")) & (F.col("root") < F.col("root2"))
+                       & _may_link() & _near("2"))
     rest = stored(_possible(found).join(pairs, ["a", "b"], "left_anti"))
     roots = components(links.union(checkpoint(_links(texts, rest))))
 

@@ -155,6 +155,18 @@ def test_jaccard_signatures_are_shared_by_every_linked_pair():
             assert any(7 * min(bx[s], by[s]) >= 3 * (len(keys) + len(other)) for s in bx.keys() & by)
 
 
+def test_jaccard_parities_differ_in_no_more_places_than_the_sets():
+    rng = np.random.default_rng(8)
+    for n in (1, 7, 100, 700, 5000):
+        keys = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        for share in (0, 0.1, 0.6, 1):
+            other = np.unique(np.concatenate((keys[rng.random(n) >= share], rng.integers(
+                0, 1 << 63, int(share * n)).astype(np.uint64))))
+            places = sum(int(x).bit_count() for x in (
+                jaccard.parities(keys) ^ jaccard.parities(other)).view(np.uint64))
+            assert places <= len(np.setxor1d(keys, other))
+
+
 # 4 language -----------------------------------------------------------------------------------------
 
 
