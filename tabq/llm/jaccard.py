@@ -17,8 +17,9 @@ and so do, besides, sets of eight and nine, which can be their partners.
 The order comes from a sketch of fixed size that all shingles are counted in; being coarse costs
 candidates, never links. Candidates are verified exactly, in steps. First each bucket of a
 signature forms a star around its smallest set, and the links found are closed to components; where
-a bucket holds several of them, it forms another around the set that meets the most others. Then only
-pairs of one bucket that are still in different components are verified. So a group of many
+a bucket holds several of them, it forms one around the set that meets the most others and two around
+sets drawn by hash, others in other buckets. Then only pairs of one bucket that are still in different
+components are verified. So a group of many
 copies costs one comparison for each of its members and bucket, not all its pairs, and no link is
 lost. A pair that could not share enough even if all shingles from its signature on agree is not
 compared; nor are sets that share frequent shingles alone, but have too few of them; nor are sets
@@ -407,16 +408,23 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     links = checkpoint(_links(texts, pairs))
     roots = components(links)
 
-    # Once more in buckets that hold several components, around the set that meets the most others:
-    # copies that were changed in different places may be similar to their origin only.
+    # Once more in buckets that hold several components. Around the set that meets the most others:
+    # copies that were changed in different places may be similar to their origin only. And around two
+    # drawn ones: members that link with a share of the others grow together by a few such stars.
     mixed = stored(_mixed(members.select("sig", "node", "n", "most").distinct(), roots))
     met = mixed.join(mixed.groupBy("sig").agg(F.count("*").alias("size")), "sig").groupBy("node").agg(
         F.sum("size").alias("weight"))
-    centre = mixed.join(met, "node").groupBy("sig").agg(
-        F.max(F.struct("weight", "node", "n", "most", "root")).alias("lead"))
-    starred = mixed.join(centre, "sig").select(
-        "sig", "node", "n", "most", "root", *(F.col(f"lead.{c}").alias(c + "2")
-                                              for c in ("node", "n", "most", "root")))
+    drawn = F.xxhash64("node", "sig")
+    centres_by = {"meets": F.col("weight"), "drawn": drawn, "other": -F.shiftright(drawn, 1)}
+    centres = mixed.join(met, "node").groupBy("sig").agg(*(
+        F.max(F.struct(by.alias("by"), "node", "n", "most", "root")).alias(name)
+        for name, by in centres_by.items()))
+    leads = centres.select("sig", F.explode(F.array_distinct(F.array(
+        *(F.struct(*(F.col(f"{name}.{c}").alias(c) for c in ("node", "n", "most", "root")))
+          for name in centres_by)))).alias("lead"))
+    starred = mixed.join(leads, "sig").select(
+        "node", "n", "most", "root", *(F.col(f"lead.{c}").alias(c + "2")
+                                       for c in ("node", "n", "most", "root")))
     more = stored(_close(_possible(starred.where("root <> root2")).join(
         pairs, ["a", "b"], "left_anti"), bits))
     pairs, links = pairs.union(more), links.union(checkpoint(_links(texts, more)))
