@@ -8,9 +8,10 @@ the training texts. A pair's probability is smoothed towards the word's:
     p(w | h) = (c(h w) + M p(w)) / (c(h) + M),   p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))
 
 The filter has BITS bits for each training token, in segments that are built where the n-grams of a
-segment meet; so it grows with the corpus, and each task holds one segment. It is broadcast up to
-MOST_BYTES. In a larger corpus n-grams enter from the count on that keeps it within that size (at
-most N / m n-grams have a count of m), rarer ones being left to the smoothing; below, all enter.
+segment meet; so it grows with the corpus, and each task holds one segment. All n-grams enter, at
+every size. Up to MOST_BYTES the filter is broadcast. A larger one stays a table in the shared folder:
+the distinct n-grams of each chunk of texts go to the segments they fall in, are probed there, and
+their levels come back to the chunk. Both ways give the same scores.
 
 The base score needs exact counts. Words whose count is at least tokens / HEAVY, which are at most
 HEAVY, are broadcast; the others meet their counts in a join, where none of them can be hot.
@@ -26,10 +27,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabq.llm.common import checkpoint, column_bytes, folded_words, hashes, mix, runs, small_batches
+from tabq.llm.common import checkpoint, column_bytes, folded_words, hashes, mix, runs, small_batches, stored
 
 BITS = 6
 PROBES = 4
@@ -130,125 +132,133 @@ def position(mixed: np.ndarray, i: int) -> np.ndarray:
     return ((low + np.uint64(i) * step) % np.uint64(SEGMENT)).astype(np.int64)
 
 
-def _segment(least):
-    """A group's bits, and by order and level how many n-grams there are and their counts."""
-    def run(key, table):
-        bits = np.zeros(SEGMENT, bool)
-        stats = np.zeros((2, 2, LEVELS))
-        for order in (1, 2):
-            own = table.filter(pc.equal(table.column("ord"), order))
-            all_ = np.frombuffer(b"".join(own.column("keys").to_pylist()), "<u4")
-            n = np.frombuffer(b"".join(own.column("counts").to_pylist()), "<u4")
-            keys, at = np.unique(all_, return_inverse=True)
-            n = np.bincount(at, n, len(keys))
-            keys, n = keys[n >= least], n[n >= least]
-            level = np.minimum(np.floor(np.log2(n)).astype(int) + 1, LEVELS - 1)
-            for j in range(1, int(level.max(initial=0)) + 1):
-                mixed = mixed_keys(keys[level >= j], order, j)
-                for i in range(PROBES):
-                    bits[position(mixed, i)] = True
-                stats[order - 1, 0, j] = (level == j).sum()
-                stats[order - 1, 1, j] = n[level == j].sum()
-        return pa.table({"grp": pa.array([key[0].as_py()], pa.int32()),
-                         "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
-                         "stats": pa.array([stats.tobytes()], pa.binary())})
-    return run
-
-
-def _either(key, table):
-    bits = np.zeros(SEGMENT // 8, np.uint8)
+def _segment(key, table):
+    """A segment's bits, and by order and level how many n-grams there are and their counts."""
+    bits = np.zeros(SEGMENT, bool)
     stats = np.zeros((2, 2, LEVELS))
-    for part, own in zip(table.column("bits"), table.column("stats")):
-        bits |= np.frombuffer(part.as_py(), np.uint8)
-        stats += np.frombuffer(own.as_py()).reshape(stats.shape)
-    return pa.table({"segment": pa.array([key[0].as_py()], pa.int32()),
-                     "bits": pa.array([bits.tobytes()], pa.binary()),
+    for order in (1, 2):
+        own = table.filter(pc.equal(table.column("ord"), order))
+        all_ = np.frombuffer(b"".join(own.column("keys").to_pylist()), "<u4")
+        n = np.frombuffer(b"".join(own.column("counts").to_pylist()), "<u4")
+        keys, at = np.unique(all_, return_inverse=True)
+        n = np.bincount(at, n, len(keys))
+        level = np.minimum(np.floor(np.log2(n)).astype(int) + 1, LEVELS - 1)
+        for j in range(1, int(level.max(initial=0)) + 1):
+            mixed = mixed_keys(keys[level >= j], order, j)
+            for i in range(PROBES):
+                bits[position(mixed, i)] = True
+            stats[order - 1, 0, j] = (level == j).sum()
+            stats[order - 1, 1, j] = n[level == j].sum()
+    return pa.table({"grp": pa.array([key[0].as_py()], pa.int32()),
+                     "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
                      "stats": pa.array([stats.tobytes()], pa.binary())})
 
 
 # --- the model ---
 
 
+def probe(flat: np.ndarray, base: np.ndarray, short: np.ndarray, order: int) -> np.ndarray:
+    """Probe level after level; the last one found, 0 if none. base: the first byte of each segment."""
+    level, left = np.zeros(len(short), np.int64), np.arange(len(short))
+    for j in range(1, LEVELS):
+        mixed = mixed_keys(short[left], order, j)
+        for i in range(PROBES):
+            at = position(mixed, i)
+            found = flat[base[left] + (at >> 3)] >> (at & 7).astype(np.uint8) & 1 > 0
+            left, mixed = left[found], mixed[found]
+        if not len(left):
+            break
+        level[left] = j
+    return level
+
+
 @dataclass
-class Model:
-    segments: np.ndarray  # (number, SEGMENT / 8)
-    groups: int
+class Smoothing:
     counts: np.ndarray  # (order, level): what a level stands for
     n: int
     v: int
 
+    def log10(self, words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """log10 p of each token. words: levels of the tokens, then of their histories."""
+        count = self.counts[0][words]
+        own, history = count[:len(pairs)], count[len(pairs):]
+        pair = np.minimum(self.counts[1][pairs], history)
+        word = (own + 0.5) / (self.n + 0.5 * (self.v + 1))
+        return np.log10((np.minimum(pair, own) + PRIOR * word) / (history + PRIOR))
+
+
+@dataclass
+class Model(Smoothing):
+    segments: np.ndarray  # (number, SEGMENT / 8)
+
     def levels(self, keys: np.ndarray, order: int) -> np.ndarray:
-        """Probe level after level; the last one found, 0 if none."""
-        flat = self.segments.reshape(-1)
-        base = (keys % np.uint64(self.groups) % np.uint64(len(self.segments))).astype(np.int64) * (
-            SEGMENT // 8)
-        short = short_keys(keys, order)
-        level, left = np.zeros(len(keys), np.int64), np.arange(len(keys))
-        for j in range(1, LEVELS):
-            mixed = mixed_keys(short[left], order, j)
-            for i in range(PROBES):
-                at = position(mixed, i)
-                found = flat[base[left] + (at >> 3)] >> (at & 7).astype(np.uint8) & 1 > 0
-                left, mixed = left[found], mixed[found]
-            if not len(left):
-                break
-            level[left] = j
-        return level
+        base = (keys % np.uint64(len(self.segments))).astype(np.int64) * (SEGMENT // 8)
+        return probe(self.segments.reshape(-1), base, short_keys(keys, order), order)
 
     def log10(self, all_: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """log10 p of each token."""
         before = histories(all_, sizes)
         words, at = np.unique(np.concatenate((all_, before)), return_inverse=True)
-        count = self.counts[0][self.levels(word_keys(words), 1)][at]
-        own, history = count[:len(all_)], count[len(all_):]
-        pair = np.minimum(self.counts[1][self.levels(pair_keys(before, all_), 2)], history)
-        word = (own + 0.5) / (self.n + 0.5 * (self.v + 1))
-        return np.log10((np.minimum(pair, own) + PRIOR * word) / (history + PRIOR))
+        return super().log10(self.levels(word_keys(words), 1)[at],
+                             self.levels(pair_keys(before, all_), 2))
+
+
+def segments_of(n: int) -> int:
+    """How many segments the filter of n training tokens has."""
+    return max(1, -(-n * BITS // SEGMENT))
+
+
+def build(train: DataFrame, segments: int, text: str = "text") -> DataFrame:
+    """grp, bits and stats of each segment of the filter of all training texts."""
+    return train.select(F.col(text).alias("text")).mapInArrow(
+        _grouped(segments), "grp int, ord int, keys binary, counts binary").groupBy(
+        "grp").applyInArrow(_segment, "grp int, bits binary, stats binary")
+
+
+def level_counts(stats: np.ndarray) -> np.ndarray:
+    middle = np.concatenate(([0], 1.5 * 2.0 ** np.arange(LEVELS - 1)))  # of levels nothing is in
+    return np.where(stats[:, 0] > 0, stats[:, 1] / np.maximum(stats[:, 0], 1), middle)
 
 
 def learn(train: DataFrame, n: int, v: int, text: str = "text") -> Model:
-    """The filter of all training texts, of n tokens; at most MOST_BYTES reach the driver."""
-    rows = train.select(F.col(text).alias("text"))
-    groups = max(1, -(-n * BITS // SEGMENT))
-    segments = min(groups, MOST_BYTES * 8 // SEGMENT)
-    least = -(-groups // segments)
-    parts = rows.mapInArrow(_grouped(groups), "grp int, ord int, keys binary, counts binary").groupBy(
-        "grp").applyInArrow(_segment(least), "grp int, bits binary, stats binary")
-    if groups > segments:
-        parts = parts.groupBy(F.pmod("grp", F.lit(segments)).alias("segment")).applyInArrow(
-            _either, "segment int, bits binary, stats binary")
-    else:
-        parts = parts.withColumnRenamed("grp", "segment")
+    """The filter of all training texts, of n tokens. It comes to the driver whole; `score` uses this
+    up to MOST_BYTES."""
+    segments = segments_of(n)
     bits, stats = np.zeros((segments, SEGMENT // 8), np.uint8), np.zeros((2, 2, LEVELS))
-    for row in parts.toLocalIterator():
-        bits[row.segment] = np.frombuffer(row.bits, np.uint8)
+    for row in build(train, segments, text).toLocalIterator():
+        bits[row.grp] = np.frombuffer(row.bits, np.uint8)
         stats += np.frombuffer(row.stats).reshape(stats.shape)
-    middle = np.concatenate(([0], 1.5 * 2.0 ** np.arange(LEVELS - 1)))  # of levels nothing is in
-    counts = np.where(stats[:, 0] > 0, stats[:, 1] / np.maximum(stats[:, 0], 1), middle)
-    return Model(bits, groups, counts, n, v)
+    return Model(level_counts(stats), n, v, bits)
 
 
 # --- scoring ---
 
 
-def _scores(shared, heavy):
-    names = ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score"]
+def _known(heavy, all_: np.ndarray, first: np.ndarray) -> list[pa.Array]:
+    """Of each text the tokens that are broadcast and known, and their part of the base score."""
+    words, counts = heavy
+    at, found = _look_up(words, all_)
+    c = np.where(found, counts[at], 0)
+    base = np.where(found, np.log10(c + 0.5), 0.0)
+    return [pa.array(np.add.reduceat((c > 0).astype(np.int64), first)),
+            pa.array(np.add.reduceat(base, first))]
+
+
+SCORED = ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score"]
 
+
+def _scores(shared, heavy):
     def run(batches):
-        model, (words, counts) = shared.value, heavy.value
+        model = shared.value
         for batch in batches:
             for a, b, texts in _chunks(batch):
                 all_, sizes = tokens(texts)
                 first = np.cumsum(sizes) - sizes
-                at, found = _look_up(words, all_)
-                c = np.where(found, counts[at], 0)
-                base = np.where(found, np.log10(c + 0.5), 0.0)
                 own = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
                     [own.column("row"), own.column("doc_id"), own.column("held_out"),
-                     pa.array(sizes), pa.array(np.add.reduceat((c > 0).astype(np.int64), first)),
-                     pa.array(np.add.reduceat(base, first)),
-                     pa.array(np.add.reduceat(model.log10(all_, sizes), first))], names)
+                     pa.array(sizes), *_known(heavy.value, all_, first),
+                     pa.array(np.add.reduceat(model.log10(all_, sizes), first))], SCORED)
     return run
 
 
@@ -259,28 +269,161 @@ def _look_up(words: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, words[at] == keys
 
 
-def _light(heavy):
+def _rest(heavy, rows: np.ndarray, all_: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
     """(row, hash, count) of the words that are not broadcast."""
+    doc = np.repeat(np.arange(len(rows)), sizes)
+    rest = ~_look_up(heavy[0], all_)[1]
+    all_, doc = all_[rest], doc[rest]
+    order = np.lexsort((all_, doc))
+    all_, doc = all_[order], doc[order]
+    new = np.flatnonzero((np.diff(doc, prepend=-1) != 0)
+                         | (np.diff(all_, prepend=np.uint64(0)) != 0))
+    n = np.diff(new, append=len(all_))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(rows[doc[new]]), pa.array(all_[new].view(np.int64)),
+         pa.array(n.astype(np.int32))], names=["row", "h", "k"])
+
+
+def _light(heavy):
     def run(batches):
-        words, _ = heavy.value
         for batch in batches:
             rows = batch.column("row").to_numpy()
             for a, b, texts in _chunks(batch):
-                all_, sizes = tokens(texts)
-                doc = np.repeat(np.arange(a, b), sizes)
-                rest = ~_look_up(words, all_)[1]
-                all_, doc = all_[rest], doc[rest]
-                order = np.lexsort((all_, doc))
-                all_, doc = all_[order], doc[order]
-                new = np.flatnonzero((np.diff(doc, prepend=-1) != 0)
-                                     | (np.diff(all_, prepend=np.uint64(0)) != 0))
-                n = np.diff(new, append=len(all_))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[doc[new]]), pa.array(all_[new].view(np.int64)),
-                     pa.array(n.astype(np.int32))], names=["row", "h", "k"])
+                yield _rest(heavy.value, rows[a:b], *tokens(texts))
     return run
 
 
+# --- scoring by a filter that is not broadcast ---
+
+
+def _stored_chunks(batches):
+    """Each chunk of texts as one row: its texts' columns as lists, its distinct words, and which
+    word each token is."""
+    number = TaskContext.get().partitionId() << 40
+    for batch in batches:
+        for a, b, texts in _chunks(batch):
+            all_, sizes = tokens(texts)
+            words, at = np.unique(all_, return_inverse=True)
+            own = [pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), x) for x in (
+                *(batch.column(c).slice(a, b - a) for c in ("row", "doc_id", "held_out")),
+                pa.array(sizes.astype(np.int64)))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number]), *own, pa.array([words.tobytes()], pa.binary()),
+                 pa.array([at.astype("<u4").tobytes()], pa.binary())],
+                names=["chunk", "row", "doc_id", "held_out", "sizes", "words", "at"])
+            number += 1
+
+
+def _tokens_of(batch, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of the i-th chunk and the number of each text's."""
+    words = np.frombuffer(batch.column("words")[i].as_py(), np.uint64)
+    return (words[np.frombuffer(batch.column("at")[i].as_py(), "<u4")],
+            np.array(batch.column("sizes")[i].as_py(), np.int64))
+
+
+def _grams(all_: np.ndarray, sizes: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """A chunk's distinct n-grams, and which are its tokens (of words: then their histories)."""
+    before = histories(all_, sizes)
+    keys = word_keys(np.concatenate((all_, before))) if order == 1 else pair_keys(before, all_)
+    return np.unique(keys, return_inverse=True)
+
+
+def _by_segment(keys: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each n-gram's segment, and the order in which they go to the segments."""
+    segment = (keys % np.uint64(segments)).astype(np.int64)
+    return segment, np.argsort(segment, kind="stable")
+
+
+def _asked(segments: int):
+    """The distinct n-grams of each chunk, as one row for each order and segment."""
+    def run(batches):
+        for batch in batches:
+            for i, chunk in enumerate(batch.column("chunk").to_pylist()):
+                all_, sizes = _tokens_of(batch, i)
+                for order in (1, 2):
+                    keys, _ = _grams(all_, sizes, order)
+                    segment, place = _by_segment(keys, segments)
+                    short, segment = short_keys(keys[place], order), segment[place]
+                    edges = np.append(np.flatnonzero(np.diff(segment, prepend=-1)), len(segment))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(edges) - 1, chunk)),
+                         pa.array(segment[edges[:-1]].astype(np.int32)),
+                         pa.array(np.full(len(edges) - 1, order, np.int32)),
+                         pa.array([short[s:e].tobytes() for s, e in zip(edges, edges[1:])],
+                                  pa.binary())], names=["chunk", "grp", "ord", "keys"])
+    return run
+
+
+def _answered(key, asked, segment):
+    """The levels of the n-grams that chunks ask a segment for."""
+    names = ["chunk", "grp", "ord", "levels"]
+    if asked.num_rows == 0:
+        return pa.table({c: pa.array([], t) for c, t in zip(
+            names, (pa.int64(), pa.int32(), pa.int32(), pa.binary()))})
+    bits = segment.column("bits").to_pylist()  # none where no training n-gram fell
+    flat = np.frombuffer(bits[0], np.uint8) if bits else np.zeros(SEGMENT // 8, np.uint8)
+    levels = []
+    for order, keys in zip(asked.column("ord").to_pylist(), asked.column("keys").to_pylist()):
+        short = np.frombuffer(keys, np.uint32)
+        levels.append(probe(flat, np.zeros(len(short), np.int64), short, order)
+                      .astype(np.uint8).tobytes())
+    return asked.select(["chunk", "grp", "ord"]).append_column(
+        "levels", pa.array(levels, pa.binary()))
+
+
+def _chunk_scores(smoothing: Smoothing, segments: int, heavy):
+    """A chunk's rows, as `_scores` makes them, from the levels that came back."""
+    def run(key, chunk, answers):
+        all_, sizes = _tokens_of(chunk, 0)
+        levels = []
+        for order in (1, 2):
+            keys, at = _grams(all_, sizes, order)
+            own = answers.filter(pc.equal(answers.column("ord"), order)).sort_by("grp")
+            found = np.empty(len(keys), np.uint8)
+            found[_by_segment(keys, segments)[1]] = np.frombuffer(
+                b"".join(own.column("levels").to_pylist()), np.uint8)
+            levels.append(found[at])
+        first = np.cumsum(sizes) - sizes
+        own = [pc.list_flatten(chunk.column(c)) for c in ("row", "doc_id", "held_out", "sizes")]
+        return pa.table([*own, *_known(heavy.value, all_, first),
+                         pa.array(np.add.reduceat(smoothing.log10(*levels), first))], SCORED)
+    return run
+
+
+def _light_chunks(heavy):
+    def run(batches):
+        for batch in batches:
+            for i, rows in enumerate(batch.column("row").to_pylist()):
+                yield _rest(heavy.value, np.array(rows, np.int64), *_tokens_of(batch, i))
+    return run
+
+
+def _score_by_table(rows: DataFrame, kind: str, segments: int, n: int, v: int, total: int, heavy,
+                    fields: str) -> tuple[DataFrame, DataFrame]:
+    """What `_scores` and `_light` give, with a filter of any size."""
+    filter_ = stored(build(rows.where(~F.col("held_out")), segments))
+    stats = np.zeros((2, 2, LEVELS))
+    for row in filter_.select("stats").toLocalIterator():
+        stats += np.frombuffer(row.stats).reshape(stats.shape)
+    # stored: chunks and row numbers depend on how the files are split
+    chunks = stored(rows.mapInArrow(
+        _stored_chunks, f"chunk long, row array<long>, doc_id array<{kind}>, held_out array<boolean>, "
+        "sizes array<long>, words binary, at binary"))
+    asked = chunks.select("chunk", "sizes", "words", "at").mapInArrow(
+        _asked(segments), "chunk long, grp int, ord int, keys binary")
+    # with few training texts among many, a segment is asked in several places
+    places = max(1, total // max(1, 2 * n))
+    asked = asked.withColumn("place", F.pmod(F.xxhash64("chunk"), F.lit(places)))
+    bits = filter_.select("grp", "bits", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.lit(places - 1).cast("long"))).alias("place"))
+    answers = asked.groupBy("grp", "place").cogroup(bits.groupBy("grp", "place")).applyInArrow(
+        _answered, "chunk long, grp int, ord int, levels binary")
+    scored = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        _chunk_scores(Smoothing(level_counts(stats), n, v), segments, heavy), fields)
+    return scored, chunks.select("row", "sizes", "words", "at").mapInArrow(
+        _light_chunks(heavy), "row long, h long, k int")
+
+
 def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Scores of all texts, learnt from those for which held_out (a column) is not true."""
     small_batches(docs.sparkSession)
@@ -298,12 +441,18 @@ def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text")
     order = np.argsort(often_h)
     context = docs.sparkSession.sparkContext
     heavy = context.broadcast((often_h[order], often.column("c").to_numpy()[order]))
-    model = context.broadcast(learn(rows.where(~F.col("held_out")), n, v))
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.mapInArrow(_scores(model, heavy), f"row long, doc_id {kind}, held_out boolean, "
-                             "n_tokens long, known long, base double, score double")
-    light = rows.select("row", "text").mapInArrow(_light(heavy), "row long, h long, k int").join(
+    fields = (f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, "
+              "score double")
+    segments = segments_of(n)
+    if segments * (SEGMENT // 8) <= MOST_BYTES:
+        model = context.broadcast(learn(rows.where(~F.col("held_out")), n, v))
+        scored = rows.mapInArrow(_scores(model, heavy), fields)
+        light = rows.select("row", "text").mapInArrow(_light(heavy), "row long, h long, k int")
+    else:
+        scored, light = _score_by_table(rows, kind, segments, n, v, total, heavy, fields)
+    light = light.join(
         vocabulary.where(F.col("total") < limit).select("h", "c"), "h", "left")
     c = F.coalesce("c", F.lit(0))
     light = light.groupBy("row").agg(

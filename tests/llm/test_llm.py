@@ -70,6 +70,24 @@ def test_lm_probabilities_sum_to_about_one(spark):
     assert (10.0 ** each).sum() == pytest.approx(1, abs=0.35)  # counts are kept as levels
 
 
+def test_lm_scores_are_the_same_by_a_filter_that_is_not_broadcast(spark, monkeypatch):
+    texts = TEXTS + sentences(3, 60) + [" ".join(f"w{i}x{k}" for k in range(80)) for i in range(20)]
+    df = table(spark, texts, extra=False).repartition(3)
+    held_out = fold("doc_id", 5) == 1
+
+    def scores():
+        return sorted((tuple(r) for r in bloomlm.score(df, held_out).collect()),
+                      key=lambda r: (r[0], r[2]))
+
+    monkeypatch.setattr(bloomlm, "BITS", 4096)  # several segments for few tokens
+    broadcast = scores()
+    assert bloomlm.segments_of(broadcast[0][4]) > 3
+    for most in (bloomlm.SEGMENT // 8, 0):  # one segment, none
+        monkeypatch.setattr(bloomlm, "MOST_BYTES", most)
+        for x, y in zip(scores(), broadcast, strict=True):
+            assert x[:5] == y[:5] and x[5:] == pytest.approx(y[5:], rel=1e-12)
+
+
 # 2 chat ---------------------------------------------------------------------------------------------
 
 
