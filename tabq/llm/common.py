@@ -66,8 +66,9 @@ def slices(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatc
 
 
 def append(df: DataFrame, work: Callable[[pa.RecordBatch], list], fields: str,
-           keep: list[str] | None = None) -> DataFrame:
-    """df's columns `keep` (all by default) and the arrays that `work` makes of each batch.
+           keep: list[str] | None = None, most: int = 4 << 20) -> DataFrame:
+    """df's columns `keep` (all by default) and the arrays that `work` makes of each part of a batch,
+    of about `most` bytes.
 
     A new column takes the place of a kept one of the same name.
     """
@@ -79,7 +80,7 @@ def append(df: DataFrame, work: Callable[[pa.RecordBatch], list], fields: str,
     old = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (p for batch in batches for p in slices(batch)):
+        for part in (p for batch in batches for p in slices(batch, most)):
             made = [x if isinstance(x, pa.Array) else pa.array(x, type=t)
                     for x, t in zip(work(part), types, strict=True)]
             yield pa.RecordBatch.from_arrays(

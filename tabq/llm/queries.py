@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabq.llm import bloomlm, bpe, chat, jaccard, langid, packing, pii, quality, statements, topk, toxicity
+from tabq.llm import (
+    align, bloomlm, bpe, chat, jaccard, langid, negatives, packing, pii, quality, statements, substrings,
+    topk, toxicity)
 from tabq.llm.common import fold, read
 
 
@@ -73,6 +75,22 @@ def op10_byte_bpe(spark, folder):
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_cross_tokenizer_alignment(spark, folder):
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return align.links(docs, public_tokenizers.path("byte_bpe_50k.json"),
+                       public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_hard_negatives(spark, folder):
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors, F.col("vec_id") % 50 == 0, changed)
+
+
+def op13_substring_dedup(spark, folder):
+    return substrings.remove(read(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_chat_format": op2_chat_format,
@@ -84,7 +102,11 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 #: SQL twins; the others cannot be said in SQL and are tested against brute force.
-STATEMENTS = {"op2_chat_format": statements.OP2, "op5_exact_top_k": statements.OP5}
+STATEMENTS = {"op2_chat_format": statements.OP2, "op5_exact_top_k": statements.OP5,
+              "op12_hard_negatives": statements.OP12}
