@@ -1,5 +1,6 @@
 """Dataset expectations: all checks of a table in one pass, as a result table."""
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tabq.functions import patterns
@@ -23,7 +24,33 @@ def check(df, expectations):
 
     Existence is read off the schema, all other counts come from a single aggregation.
     """
-    counters, results = {}, []
+    counters, results = _plan(df, expectations)
+    return df.agg(*counters).selectExpr(results)
+
+
+def observe(df, expectations, name="expectations"):
+    """The table, to be written or otherwise used, and a function for the results of ``check``.
+
+    The counts are taken from the rows as they pass by in the first action on the table, so they cost
+    no job and no scan of their own; the function waits for that action and gives the results as a
+    table. Put it last, right before the write: rows that a task of an earlier stage has to repeat
+    would be counted again. An action that reads only a part of the table counts that part.
+    """
+    counters, results = _plan(df, expectations)
+    seen = Observation(name)
+    spark = df.sparkSession
+
+    def outcome():
+        counts = {c: int(n) for c, n in seen.get.items()}
+        fields = ", ".join(f"{c} bigint" for c in counts)
+        return spark.createDataFrame([tuple(counts.values())], fields).selectExpr(results)
+
+    return df.observe(seen, *counters), outcome
+
+
+def _plan(df, expectations):
+    """The counts to take, and the results from them."""
+    counters, results = {"total": F.count(F.lit(1))}, []
     for i, (kind, column, unexpected) in enumerate(expectations):
         present = column in df.columns
         if unexpected is None:
@@ -32,8 +59,7 @@ def check(df, expectations):
             bad = f"bad_{i}"
             counters[bad] = F.count_if(unexpected(column))
             results.append(_result(column, kind, f"{bad} = 0", "total", bad))
-    totals = df.agg(F.count(F.lit(1)).alias("total"), *[c.alias(n) for n, c in counters.items()])
-    return totals.selectExpr(f"inline(array({', '.join(results)}))")
+    return [c.alias(n) for n, c in counters.items()], f"inline(array({', '.join(results)}))"
 
 
 def _result(column, kind, success, total, bad):
@@ -45,9 +71,13 @@ def _result(column, kind, success, total, bad):
     )
 
 
-def check_mandatory(df, columns):
+def mandatory(columns):
     """Every column must exist, hold no NULL and no question mark."""
-    return check(df, [make(c) for c in columns for make in (to_exist, not_null, not_match)])
+    return [make(c) for c in columns for make in (to_exist, not_null, not_match)]
+
+
+def check_mandatory(df, columns):
+    return check(df, mandatory(columns))
 
 
 def report(results):

@@ -145,3 +145,15 @@ def value_occurrences(df, a, b, output="counts"):
     """Per row, how often each value occurs in two columns, as JSON."""
     joined = F.concat_ws(",", as_column(a), as_column(b))
     return df.withColumns({"concat": joined, output: occurrences_json(a, b)})
+
+
+def merge_counts(*parts):
+    """Label counts of batches as those of the whole table.
+
+    Counts are stored for each batch of files (``label_counts`` and a handoff); a new batch then costs
+    its own scan and this sum over a few rows.
+    """
+    rows = parts[0]
+    for other in parts[1:]:
+        rows = rows.unionByName(other)
+    return rows.groupBy("label", "column", "position").agg(F.sum("n").alias("n"))

@@ -10,7 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from tabq.operators import heavy as hitters
+from tabq.sources import files
+
 NULL_PARTS = 64
+HEAVY_PARTS = 256  # a key is heavy if it holds more than this part of all rows
 
 
 def prefixed(df, prefix):
@@ -33,6 +37,9 @@ class Measure:
     column: str = None
 
 
+_PLAIN = {"sum": F.sum, "avg": F.avg, "count": F.count}
+
+
 def total(column):
     return Measure("sum", column)
 
@@ -50,20 +57,54 @@ class Star:
         self.fact = fact
         self.dimensions = {d.prefix: d for d in dimensions}
 
-    def join(self, *prefixes, salts=1):
+    def heavy_keys(self, *prefixes, parts=HEAVY_PARTS, sketches=None):
+        """{foreign key: {value: parts}} of the key values that hold over 1/parts of all fact rows.
+
+        One pass over the fact for all keys, or none if ``sketches`` (``heavy.sketch`` of the foreign
+        keys, merged) are at hand. The result has at most ``parts`` values for each key.
+        """
+        keys = list(dict.fromkeys(d.foreign_key for d in self._dims(prefixes)))
+        if sketches is None:
+            sketches = hitters.sketch(self.fact, keys)
+        found = {k: {} for k in keys}
+        for r in hitters.hitters(sketches, keys, 1 / parts).collect():
+            found[r.column][r.value] = -(-r.n * parts // r.rows)
+        return found
+
+    def laid_out(self, prefix, buckets, base=None):
+        """The star with its fact laid out by one dimension's foreign key and that dimension by its
+        key, both in ``buckets`` parts: joins and groups on it shuffle neither, in every report.
+
+        Rows of a heavy key stay in one bucket; ``join(heavy=...)`` is the way for such a key.
+        """
+        d = self.dimensions[prefix]
+        fact = files.bucketed(self.fact, "fact", [d.foreign_key], buckets, base)
+        table = files.bucketed(d.table, "dimension", [d.key], buckets, base)
+        laid = Dimension(d.prefix, table, d.foreign_key, d.key)
+        return Star(fact, [laid if p == prefix else other for p, other in self.dimensions.items()])
+
+    def bucketed_join(self, prefix):
+        """All fact rows with one dimension's columns, by key alone, as ``laid_out`` supports it."""
+        return Star(self.fact, [self.dimensions[prefix]])._reduced_join()
+
+    def join(self, *prefixes, salts=1, heavy=None):
         """All fact rows with the columns of the named dimensions (default: of all of them).
 
         Rows whose foreign key is NULL are spread over NULL_PARTS parts; they match nothing.
         Adaptive execution splits other skewed keys. ``salts`` above 1 spreads every key over that
-        many parts beforehand, at the price of as many copies of each dimension. Rows are spread by
-        their number, so equal rows are spread too.
+        many parts beforehand, at the price of as many copies of each dimension. ``heavy`` (from
+        ``heavy_keys``) spreads only the key values it names, each over its own number of parts; all
+        other dimension rows stay single. Rows are spread by their number, so equal rows are spread
+        too.
         """
         joined = self.fact.withColumn("_number", F.monotonically_increasing_id())
         for d in self._dims(prefixes):
-            spread = F.pmod("_number", F.lit(salts))
+            named = (heavy or {}).get(d.foreign_key, {})
+            spread = F.pmod("_number", _parts_of(d.foreign_key, named, salts))
             nulls = F.lit(-1) - F.pmod("_number", F.lit(NULL_PARTS))
             part = F.when(F.col(d.foreign_key).isNull(), nulls).otherwise(spread).cast("int")
-            parts = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))) if salts > 1 else F.lit(0)
+            copies = F.explode(F.sequence(F.lit(0), _parts_of(d.key, named, salts) - 1))
+            parts = copies if salts > 1 or named else F.lit(0)
             table = d.table.withColumn(f"{d.prefix}_part", parts)
             same = (F.col(d.foreign_key) == F.col(d.key)) & (part == F.col(f"{d.prefix}_part"))
             joined = joined.join(table, same, "left").drop(f"{d.prefix}_part")
@@ -75,19 +116,26 @@ class Star:
         keys = self.fact.select(*[d.foreign_key for d in dims]).distinct()
         return Star(keys, dims)._reduced_join()
 
-    def aggregate(self, by, measures, where=None):
+    def aggregate(self, by, measures, where=None, reduce_first=True):
         """Group by fact and dimension columns; dimensions no output needs are not joined.
 
         ``by`` maps output names to a column name or, for fact columns, an expression.
 
         The fact is first summed up per foreign key, on the map side too, so the joins see one row
         per key and a key that holds a large part of all rows (or NULL) is as light as any other.
-        Results have the types of the same aggregates over the plain join.
+        Results have the types of the same aggregates over the plain join. ``reduce_first=False`` sums
+        up after a row-level join (``join``), in one aggregation: for groups that are so fine that hardly
+        two rows share both a group and a foreign key, where reducing only adds a shuffle.
         """
         fact = self.fact if where is None else self.fact.filter(where)
         wanted = [c for c in by.values() if isinstance(c, str)]
         wanted += [m.column for m in measures.values() if m.column]
         dims = [d for d in self.dimensions.values() if any(c in d.table.columns for c in wanted)]
+        if not reduce_first:
+            joined = Star(fact, dims).join() if dims else fact
+            groups = [F.col(c).alias(n) if isinstance(c, str) else c.alias(n) for n, c in by.items()]
+            return joined.groupBy(*groups).agg(
+                *[_PLAIN[m.kind](m.column or F.lit(1)).alias(n) for n, m in measures.items()])
         home = {c: d.table for d in dims for c in d.table.columns}
 
         local = {
@@ -135,6 +183,14 @@ class Star:
         return [self.dimensions[p] for p in prefixes or self.dimensions]
 
 
+def _parts_of(key, named, others):
+    """Over how many parts a key value is spread."""
+    if not named:
+        return F.lit(others)
+    table = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
+    return F.coalesce(F.element_at(table, F.col(key).cast("string")), F.lit(others)).cast("int")
+
+
 class _Plan:
     """One measure: what is summed up per foreign key, and the result from those parts."""
 

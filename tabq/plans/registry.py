@@ -7,7 +7,7 @@ here, so that the order of summation does not show.
 from pyspark.sql import functions as F
 
 from tabq.functions import convert, patterns, predicates, strings
-from tabq.operators import expect, groups, profile
+from tabq.operators import distinct, expect, groups, heavy, moments, profile
 from tabq.operators.labels import backfill, label
 from tabq.operators.star import Dimension, Star, prefixed
 from tabq.plans import analogues, cleaning
@@ -359,6 +359,161 @@ def _(s):
     return profile.frequency(label(places, place_rules.rules(places.columns)))
 
 
+@query("profile_merged")
+def _(s):
+    """Label counts of two batches, stored one by one and merged."""
+    old = F.coalesce(F.col("year") < 1995, F.lit(True))
+    parts = []
+    for batch in (s.raw_flights().filter(old), s.raw_flights().filter(~old)):
+        labelled = only_labels(label(batch, flight_rules.rules(dest="dest")))
+        parts.append(files.handoff(profile.label_counts(labelled), "counts"))
+    return profile.merge_counts(*parts)
+
+
+# Files and layouts ------------------------------------------------------------------------------
+
+
+def _as_csv(df, name):
+    path = files.new_path(df.sparkSession, f"{name}_csv")
+    files.write_csv(df, path)
+    return path
+
+
+@query("csv_typed")
+def _(s):
+    """Airports written as CSV and read with their declared types."""
+    path = _as_csv(s.dirty_airports(), "airports")
+    return files.read_csv(s.spark, path, schemas.AIRPORTS, null_text=files.NULL_TEXT)
+
+
+@query("csv_landed")
+def _(s):
+    """Sales landed as text; NULL, empty text and blanks stay apart."""
+    return files.read_csv(s.spark, _as_csv(s.sales(), "sales"), schemas.RETAIL,
+                          null_text=files.NULL_TEXT)
+
+
+@query("csv_header_only")
+def _(s):
+    """Column names from the header, all text."""
+    return files.read_csv(s.spark, _as_csv(s.dirty_planes(), "planes"), null_text=files.NULL_TEXT)
+
+
+TYPED_RETAIL = schemas.typed({c: "string" for c in schemas.RETAIL.fieldNames()}
+                             | {"Quantity": "int", "UnitPrice": "float"})
+
+
+def _landed_sales(s):
+    return files.land_csv(s.spark, _as_csv(s.sales(), "sales"), TYPED_RETAIL, "landed",
+                          null_text=files.NULL_TEXT)
+
+
+@query("csv_quarantine")
+def _(s):
+    """Sales records whose quantity or price is not of the declared type, with the reason."""
+    return _landed_sales(s).rejected.select(
+        "InvoiceNo", "StockCode", "Quantity", "UnitPrice", "Country", "reason")
+
+
+@query("csv_accepted")
+def _(s):
+    """Units and highest price by country of the records that fit."""
+    return _landed_sales(s).accepted.groupBy("Country").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("Quantity").alias("quantity"),
+        F.max("UnitPrice").alias("highest"))
+
+
+@query("parquet_sink")
+def _(s):
+    """Labels, written once and read again."""
+    return files.handoff(only_labels(label(s.sales(), retail_rules.rules())), "labels")
+
+
+def _watched_people(s):
+    people, outcome = expect.observe(s.people(), expect.mandatory([*MANDATORY, "no-such-column"]))
+    files.handoff(people, "people")
+    return outcome()
+
+
+@query("expect_people_on_write")
+def _(s):
+    """Expectations from the rows that a write passes on, without a pass of their own."""
+    return rounded(_watched_people(s), "unexpected_percent")
+
+
+@query("expect_people_report_on_write")
+def _(s):
+    return expect.report(_watched_people(s))
+
+
+DECLARED_PLANES = schemas.typed({"tailnum": "string", "year": "float", "type": "string",
+                                 "model": "string", "engines": "int", "owner": "string"})
+
+
+@query("schema_differences")
+def _(s):
+    """Planes against a schema that asks for another type, a column more and two columns less."""
+    planes = s.dirty_planes().drop("speed", "engine")
+    return schemas.differences(planes, DECLARED_PLANES, ["tailnum", "engines"])
+
+
+@query("schema_conformed")
+def _(s):
+    """The columns of that schema, with its types."""
+    return schemas.conform(s.dirty_planes(), DECLARED_PLANES)
+
+
+def _trips_by_year(s):
+    trips = cleaning.derive_flight_columns(s.raw_flights()).select(
+        "year", "month", "origin", "dest", "tailnum", "distance", "dep_delay")
+    return files.partitioned(trips, "trips", ["year"])
+
+
+@query("partitioned_year")
+def _(s):
+    """A report of one year, which reads that year's folder only."""
+    of_year = _trips_by_year(s).filter("year = 1995")
+    return of_year.groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.sum("distance").alias("distance"))
+
+
+@query("partitioned_years_of_dimension")
+def _(s):
+    """Flights of the years in which orders of large value were placed: the folders that are read
+    follow from the other table while the query runs."""
+    trips, orders = _trips_by_year(s), s.table("orders")
+    dear = orders.filter("o_totalprice > 400000").select(F.year("o_orderdate").alias("year")).distinct()
+    met = trips.join(dear, "year", "left_semi")
+    return met.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("distance").alias("distance"))
+
+
+@query("star_trips_heavy")
+def _(s):
+    """Only the foreign keys that hold a large part of the flights are spread."""
+    trips = s.trips()
+    return trips.join(heavy=trips.heavy_keys()).select(STAR_COLUMNS)
+
+
+@query("heavy_origins")
+def _(s):
+    """Origins with over 1 % of the flights, from sketches by carrier that are stored and merged."""
+    parts = files.handoff(heavy.sketch(s.raw_flights(), ["origin"], ["carrier"]), "sketches")
+    found = heavy.hitters(heavy.merge(parts, ["origin"]), ["origin"], 0.01)
+    return found.select("value", "n")
+
+
+BUCKETS = 16
+
+
+@query("star_trips_bucketed")
+def _(s):
+    """The fact laid out by origin, joined and summed up by origin without moving it."""
+    star = s.trips().laid_out("air_", BUCKETS)
+    joined = star.bucketed_join("air_")
+    return joined.groupBy("fl_origin").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("fl_distance").alias("distance"),
+        F.max("air_region").alias("region"))
+
+
 # Predicates and scalar functions ----------------------------------------------------------------
 
 
@@ -564,6 +719,37 @@ for _policy in ("zero", "skip"):
     )
 
 
+CORRELATED = ["population", "medIncome", "PctPolicWhite", "PolicOperBudg", "PolicBudgPerPop",
+              "ViolentCrimesPerPop"]
+
+for _policy in ("zero", "skip"):
+    _register(
+        f"corr_matrix_{_policy}",
+        lambda s, policy=_policy: rounded(moments.correlations(
+            moments.moments(s.typed_places(*CORRELATED), CORRELATED, policy)), "corr"),
+    )
+
+
+@query("corr_matrix_merged")
+def _(s):
+    """From the moments of each state, added up."""
+    places = s.typed_places("state", *CORRELATED)
+    parts = files.handoff(moments.moments(places, CORRELATED, "skip", ["state"]), "moments")
+    return rounded(moments.correlations(moments.merge(parts)), "corr")
+
+
+@query("distinct_destinations")
+def _(s):
+    """Distinct destinations of each region of departure, and of all, from one set of bitmaps."""
+    trips = s.trips().join("air_").select(F.col("air_region").alias("region"), "fl_dest")
+    numbers = distinct.dictionary(s.raw_flights(), "dest")
+    parts = files.handoff(distinct.bitmaps(trips, "fl_dest", numbers, ["region"]), "bitmaps")
+    of_region = distinct.count(parts, ["region"]).withColumn("of_all", F.lit(False))
+    of_all = distinct.count(parts).select(
+        F.lit(None).cast("string").alias("region"), "n", F.lit(True).alias("of_all"))
+    return of_region.unionByName(of_all)
+
+
 # Reports ----------------------------------------------------------------------------------------
 
 # Columns each retail report reads besides the stock code.
@@ -641,6 +827,14 @@ for _key in ("rq06", "rq07", "rq08", "rq09", "rq10"):
     _register(f"{_key}_formatted", _retail(_key, rank_on="formatted"))
 for _key in ("cq02", "cq05"):
     _register(f"{_key}_formatted", _census(_key, rank_on="formatted"))
+
+
+@query("rq08_scalar")
+def _(s):
+    sales = s.typed_sales(*RETAIL_COLUMNS["rq08"]).withColumn("year", F.year("InvoiceDate"))
+    return retail.rq08_of_partitions(files.partitioned(sales, "sales", ["year"]))
+
+
 _register("mq01_formatted", _community("mq01", rank_on="formatted"))
 _register("mq03_sum", _community("mq03", how="sum"))
 _register("mq04_people", _community("mq04", how="people"))
