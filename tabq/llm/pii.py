@@ -4,13 +4,13 @@ The patterns give base spans, which always stay. The field then labels the token
 personal data (those with a digit or an at sign; all others are O with certainty). A token's own
 potentials come from its shape and its neighbours; next to each other tokens share transition
 potentials; tokens anywhere in the text that repeat each other, wholly or in their last digits, share
-skip potentials. Tokens of base spans are observed. Loopy belief propagation runs over all texts of a
+skip potentials, also those of numbers that blanks cut into groups. Tokens of base spans are observed. Loopy belief propagation runs over all texts of a
 batch at once; a token that is not in a base span becomes one of its own if its marginal for a label
 reaches `SURE`. So a number that is written once as a clear phone number is found where it is
 written in another way.
 
 Weights are fitted to base labels on tokens of a bounded sample of texts; repeated occurrences are
-linked in a row, so edges grow with the tokens, not with their pairs.
+linked to one of them, so edges grow with the tokens, not with their pairs.
 
 Defined results: NULL and empty texts have no spans. Equal rows get equal results, one each; an empty
 table gives no rows; without any training token only base spans are given. Whole texts are read. New
@@ -37,7 +37,8 @@ OTHER = len(KINDS)
 FEATURES = 1 << 12
 SAMPLE_DOCS = 5_000  # texts that weights are fitted on, at most
 SAMPLE_TOKENS = 40_000  # and tokens of those
-ROUNDS = 8  # of message passing
+SETTLED = 1e-4  # message passing goes on until no message changes by more
+ROUNDS = 400  # or, where loops keep it from settling, so many times
 SURE = 0.95
 LAST_DIGITS = 7
 
@@ -50,6 +51,7 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 _NOT_DIGITS = re.compile(r"[^0-9]+")
+_PLAIN_IP = re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
 
 
 def luhn(digits: str) -> bool:
@@ -110,6 +112,7 @@ def tokens_of(text: str, base: list[tuple[int, int, int]]) -> Tokens:
     out = Tokens([], [], [], [], [])
     marks = sorted((s, e, k) for k, s, e in base)
     at, end_before, shape_before = 0, -1, ""
+    digits, named = [], []  # of tokens without letters; is it an address
     for m in _TOKEN.finditer(text):
         start, end = m.span()
         word = m.group()
@@ -129,11 +132,27 @@ def tokens_of(text: str, base: list[tuple[int, int, int]]) -> Tokens:
         out.spans.append((start, end))
         out.features.append([xxhash.xxh3_64_intdigest(n.encode()) % FEATURES for n in names])
         out.labels.append(label)
-        digits = _NOT_DIGITS.sub("", word)
-        out.keys.append(word.lower().strip(".,;:!?\"'()<>[]") if "@" in word
-                        else digits[-LAST_DIGITS:] if len(digits) >= LAST_DIGITS else None)
+        bare = word.lower().strip(".,;:!?\"'()<>[]")
+        named.append("@" in word or _PLAIN_IP.fullmatch(bare) is not None)
+        out.keys.append(bare if named[-1] else None)
+        digits.append(_NOT_DIGITS.sub("", word) if "a" not in own and not named[-1] else "")
         out.joined.append(joined)
         end_before, shape_before = end, own
+    # numbers, also those that blanks group: the last digits of the whole, and the place from its end
+    end = len(digits)
+    while end:
+        start = end - 1
+        while start and out.joined[start] and digits[start] and digits[start - 1]:
+            start -= 1
+        whole = "".join(digits[max(start, end - LAST_DIGITS):end])[-LAST_DIGITS:]
+        if len(whole) == LAST_DIGITS:
+            for k in range(start, end):
+                out.keys[k] = f"{whole} {end - k}"
+        elif end - start == 1 and not named[start]:
+            whole = _NOT_DIGITS.sub("", text[slice(*out.spans[start])])
+            if len(whole) >= LAST_DIGITS:  # a number with letters around
+                out.keys[start] = f"{whole[-LAST_DIGITS:]} 1"
+        end = start
     return out
 
 
@@ -145,16 +164,15 @@ class Model:
 
 
 def edges_of(tokens: Tokens) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain and skip edges."""
+    """Chain and skip edges. Repeated tokens are linked to the first of them in a base span, or else to
+    the first: a star, so that evidence reaches each of them at once."""
     chain = [(i - 1, i) for i in range(1, len(tokens.spans)) if tokens.joined[i]]
-    last: dict[str, int] = {}
-    skip = []
+    hub: dict[str, int] = {}
     for i, key in enumerate(tokens.keys):
-        if key is not None:
-            if key in last:
-                skip.append((last[key], i))
-            last[key] = i
-    return chain, skip
+        if key is not None and (key not in hub or (
+                tokens.labels[hub[key]] == OTHER and tokens.labels[i] != OTHER)):
+            hub[key] = i
+    return chain, [(hub[key], i) for i, key in enumerate(tokens.keys) if key is not None and hub[key] != i]
 
 
 def _sampled(batches):
@@ -228,7 +246,7 @@ def _normal(x: np.ndarray) -> np.ndarray:
 def propagate(own: np.ndarray, edges: np.ndarray, pair: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """Marginals of the nodes. own: log potentials; edges: (from, to); pair: log potentials of each.
 
-    All messages of a round are sent together, damped by half."""
+    All messages of a round are sent together, damped by half, until they settle."""
     if len(edges) == 0:
         return np.exp(_normal(own))
     a, b = np.concatenate((edges, edges[:, ::-1])).T
@@ -241,7 +259,10 @@ def propagate(own: np.ndarray, edges: np.ndarray, pair: np.ndarray, rounds: int
         x = (belief[a] - sent[back])[:, :, None] + pair
         most = x.max(1)
         new = _normal(most + np.log(np.exp(x - most[:, None]).sum(1)))
+        change = float(np.abs(new - sent).max())
         sent = 0.5 * sent + 0.5 * new
+        if change < SETTLED:
+            break
     belief = own.copy()
     np.add.at(belief, b, sent)
     return np.exp(_normal(belief))
@@ -267,7 +288,7 @@ def spans_of(texts: list[str], model: Model) -> list[tuple[list, list]]:
     observed = np.array(labels)
     own = _normal(model.weights[np.array(features)].sum(1))
     seen = observed != OTHER
-    own[seen] = -50.0
+    own[seen] = -1e9  # certain, however many others it is linked to
     own[np.flatnonzero(seen), observed[seen]] = 0.0
     marginals = propagate(own, np.array(edges, np.int64).reshape(-1, 2),
                           np.array(pairs).reshape(-1, LABELS, LABELS))

@@ -285,8 +285,8 @@ def test_packing_places_all_pieces(spark):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(JSON)
-    whole.encode_special_tokens = True
-    texts = TEXTS + sentences(13, 30, 300) + ["<|endoftext|> is text", "x y z " * 4000]
+    texts = TEXTS + sentences(13, 30, 300) + ["<|endoftext|> is an id", "x y z " * 4000]
+    texts += ["x <|endoftext|> y", "a<|endoftext|><|endoftext|>", "<|endoftext|" * 3]
     df = table(spark, texts)
     rows = packing.pack(packing.pieces(df, JSON, with_ids=True)).collect()
     by, sequences = defaultdict(list), defaultdict(list)
@@ -362,6 +362,60 @@ def test_a_repeated_number_is_found_in_another_form(spark):
     assert pii.find(empty(spark), pii.learn(empty(spark))).count() == 0
 
 
+@pytest.fixture(scope="module")
+def field(spark):
+    """A field learnt from texts that write numbers in groups, and repeat them; as many are no phones."""
+    rng, texts = random.Random(16), []
+    for i in range(300):
+        part = f"{rng.randint(200, 999)} {rng.randint(200, 999)} {rng.randint(1000, 9999)}"
+        texts.append(f"so later {part} or {part} then and later {part}")
+        phone = f"+1 555 {rng.randint(200, 999)} {rng.randint(1000, 9999)}"
+        host = ".".join(str(rng.randint(1, 9)) for _ in range(4))
+        texts.append(f"call {phone} or again {phone} not rooms {rng.randint(1, 99)} {rng.randint(1, 99)} "
+                     f"of 2024, on {host} and {host} version {rng.randint(1, 9)}.{rng.randint(1, 9)}")
+    return pii.learn(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+
+
+def added(text, model):
+    (base, spans), = pii.spans_of([text], model)
+    assert base == brute_spans(text) and set(base) <= set(spans)
+    return [(pii.KINDS[k], text[s:e]) for k, s, e in sorted(set(spans) - set(base), key=lambda x: x[1])]
+
+
+def test_grouped_numbers_share_potentials(field):
+    text = "call +1 555 321 7654 today and later 555 321 7654 not rooms 12 17 of 2024"
+    assert added(text, field) == [("phone", "555 321 7654")]
+    assert added("later 555 321 7654 not rooms 12 17 of 2024", field) == []
+
+
+def test_a_number_repeated_many_times_is_found_each_time(field):
+    text = "call +1 555 321 7654 " + "and later 555 321 7654 " * 50
+    assert added(text, field) == [("phone", "555 321 7654")] * 50
+    late = "and later 555 321 7654 " * 50 + "call +1 555 321 7654"
+    assert added(late, field) == [("phone", "555 321 7654")] * 50
+
+
+def test_repeats_are_linked_as_a_star():
+    for text in ("on 1.2.3.4 and 1.2.3.4, then 1.2.3.4", "321 7654 or 321 7654 or 3217654"):
+        chain, skip = pii.edges_of(pii.tokens_of(text, pii.base_spans(text)))
+        assert len(skip) == 2 + ("321 " in text) and len(dict((b, a) for a, b in skip)) == len(skip)
+
+
+def test_marginals_are_exact_on_trees_and_settle():
+    rng = np.random.default_rng(6)
+    for _ in range(5):
+        own = rng.normal(size=(6, pii.LABELS))
+        edges = np.array([(rng.integers(0, i), i) for i in range(1, 6)])
+        pair = rng.normal(size=(5, pii.LABELS, pii.LABELS))
+        exact = np.zeros_like(own)
+        for labels in itertools.product(range(pii.LABELS), repeat=6):
+            weight = np.exp(own[range(6), labels].sum() + sum(
+                pair[e, labels[a], labels[b]] for e, (a, b) in enumerate(edges)))
+            exact[range(6), labels] += weight
+        exact /= exact.sum(1, keepdims=True)
+        assert np.allclose(pii.propagate(own, edges, pair), exact, atol=2e-3)
+
+
 # 9 toxicity -----------------------------------------------------------------------------------------
 
 
@@ -436,6 +490,58 @@ def test_pipeline(spark, tmp_path):
     assert {r.doc_id for r in packed} == set(seen[3])
 
 
+def test_pipeline_keeps_columns_of_any_name(spark, tmp_path):
+    import corpus_pipeline
+
+    clashes = ["kept", "__kept", "score", "n_words", "base_failed", "__row", "__lang", "__score"]
+    good = sentences(19, 30, 120)
+    texts = good + [good[0], good[1] + " more", None, "short"]
+    rows = [(i if i % 5 else None, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({c: F.concat(F.lit(c + " "), F.length("text")) for c in clashes}).coalesce(3)
+    labels = spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, quality int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, str(tmp_path))
+        assert kept.columns == docs.columns
+        for r in kept.collect():
+            assert all(r[c] == f"{c} {len(r.text)}" for c in clashes), name
+    assert kept.count() == 30
+    assert corpus_pipeline.STAGES[-1][1](spark, kept, str(tmp_path)).count() >= 30
+
+
+def test_pipeline_numbers_rows_once(spark, tmp_path):
+    """Numbers must not follow the split of the files, which may differ at a second read."""
+    import corpus_pipeline
+    from tabq.llm.common import numbered
+
+    spark.range(5000).repartition(3).write.option("parquet.block.size", 4096).parquet(f"{tmp_path}/ids")
+    found, size = [], "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    for most in ("2k", "128m"):
+        spark.conf.set(size, most)
+        table = spark.read.parquet(f"{tmp_path}/ids")
+        found.append((table.rdd.getNumPartitions(), sorted(map(tuple, numbered(table, "row").collect()))))
+    spark.conf.set(size, before)
+    assert found[0][0] != found[1][0] and found[0][1] == found[1][1]
+    assert len({row for _, row in found[0][1]}) == 5000
+
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(sentences(3, 6))], "doc_id long, text string")
+    left = corpus_pipeline.near_copies(spark, docs.union(docs), "")
+    assert "monotonically" not in left._jdf.queryExecution().optimizedPlan().toString()
+    assert left.count() == 6
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long"
+                          ).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 # SQL twins ------------------------------------------------------------------------------------------
 
 
