@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabq.llm.common import checkpoint, column_bytes, folded_words, hashes, mix, runs, small_batches, stored
+from tabq.llm.common import checkpoint, column_bytes, folded_words, hashes, mix, numbered, runs, small_batches, stored
 
 BITS = 6
 PROBES = 4
@@ -427,9 +427,9 @@ def _score_by_table(rows: DataFrame, kind: str, segments: int, n: int, v: int, t
 def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Scores of all texts, learnt from those for which held_out (a column) is not true."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"),
-                       F.coalesce(held_out, F.lit(False)).alias("held_out"),
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
                        F.col(text).alias("text"))
+    rows = numbered(docs, "row")  # it is read twice
     vocabulary = checkpoint(rows.select("text", (~F.col("held_out")).alias("train")).mapInArrow(
         _words, "h long, c long, total long").groupBy("h").agg(
         F.sum("c").alias("c"), F.sum("total").alias("total")))

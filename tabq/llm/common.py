@@ -9,6 +9,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,6 +54,18 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, row: str) -> DataFrame:
+    """df with a number of its own for each row in the column `row`, the same at every read.
+
+    Rows of files are named by a 64-bit hash of the file and the place in it, whatever way the files are
+    split. Others are numbered in their order and stored, as that order may differ when it is made anew.
+    """
+    try:
+        return df.withColumn(row, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+    except AnalysisException:
+        return stored(df.withColumn(row, F.monotonically_increasing_id()))
+
+
 def small_batches(spark: SparkSession) -> None:
     """Send rows to Python in batches of bounded size, however long their texts are."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)
