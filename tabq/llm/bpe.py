@@ -1,14 +1,15 @@
 """Byte-level BPE encoding and decoding by tree reduction.
 
-The encodings of two neighbouring byte strings have an associative join. A long piece is halved until
-its parts are short; the parts are merged directly and joined up the tree. A join re-encodes a window
-of tokens around the seam and widens it, on the side that needs it, until its outer tokens and their
-neighbours outside stay apart when encoded as a pair. A sequence in which all neighbours stay apart
-is the encoding of its bytes, so the tokens outside are final.
+The encodings of two neighbouring byte strings have an associative join. Each piece is halved down to
+single bytes, and the halves are joined up the tree. A join re-encodes a window of tokens around the
+seam and widens it, on the side that needs it, until its outer tokens and their neighbours outside
+stay apart when encoded as a pair. A sequence in which all neighbours stay apart is the encoding of
+its bytes, so the tokens outside are final. A worker remembers the results of short subtrees, whole
+pieces among them; nothing else is looked up.
 
 Text is cut by a pattern first; merges never cross a cut, so the encodings of pieces are joined by
-putting them in a row. A piece that is itself in the vocabulary is that token. Decoding puts the
-bytes of halves together up a tree.
+putting them in a row. A piece that is itself in the vocabulary is that token, also where merges do
+not lead there. Decoding puts the bytes of neighbours together, level by level up a tree.
 
 Ids are kept as little-endian unsigned 32-bit integers in a binary column.
 
@@ -29,8 +30,7 @@ from pyspark.sql import DataFrame
 
 from tabq.llm.common import append, column_texts
 
-LEAF = 24  # bytes merged without halving
-CACHED = 400_000  # pieces that a worker remembers
+CACHED = 400_000  # pieces, subtrees and pairs each that a worker remembers
 CACHED_CHARS = 48
 NONE = 1 << 32
 
@@ -48,43 +48,56 @@ class Codec:
         for token, rank in self.ranks.items():
             self.bytes[rank] = token
         self.findall = regex.compile(pattern).findall
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.seams: dict[tuple[int, int], list[int]] = {}
+        self.subtrees: dict[bytes, list[int]] = {}
         self.known = _Known(self)
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.known.__getitem__, self.findall(text)))
 
     def piece(self, piece: bytes) -> list[int]:
-        rank = self.ranks.get(piece)
-        return [rank] if rank is not None else self.reduce(piece)
+        found, rank = self.reduce(piece), self.ranks.get(piece)
+        return found if rank is None else [rank]
 
     def reduce(self, data: bytes) -> list[int]:
         """Encode the halves and join them."""
-        if len(data) <= LEAF:
-            return self.merge(data)
-        middle = 1 << ((len(data) - 1).bit_length() - 1)  # powers of two keep runs aligned
-        return self.join(self.reduce(data[:middle]), self.reduce(data[middle:]))
+        if len(data) == 1:
+            return [self.ranks[data]]
+        found = self.subtrees.get(data)
+        if found is None:
+            middle = 1 << ((len(data) - 1).bit_length() - 1)  # powers of two keep runs aligned
+            found = self.join(self.reduce(data[:middle]), self.reduce(data[middle:]))
+            if len(data) <= CACHED_CHARS:
+                if len(self.subtrees) >= CACHED:
+                    self.subtrees.clear()
+                self.subtrees[data] = found
+        return found
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
+        window = self.seam(left[-1], right[0])
         i = j = 1
         while True:
-            i, j = min(i, len(left)), min(j, len(right))
-            window = self.merge(b"".join(self.bytes[t] for t in left[-i:] + right[:j]))
             left_final = i == len(left) or self.stays(left[-i - 1], window[0])
             right_final = j == len(right) or self.stays(window[-1], right[j])
             if left_final and right_final:
                 return left[:-i] + window + right[j:]
-            i, j = i if left_final else 2 * i, j if right_final else 2 * j
+            i = i if left_final else min(2 * i, len(left))
+            j = j if right_final else min(2 * j, len(right))
+            window = self.merge(b"".join([self.bytes[t] for t in left[-i:] + right[:j]]))
 
-    def stays(self, a: int, b: int) -> bool:
-        """Do these two tokens stay apart when encoded together?"""
-        found = self.apart.get((a, b))
+    def seam(self, a: int, b: int) -> list[int]:
+        """Two tokens encoded together."""
+        found = self.seams.get((a, b))
         if found is None:
-            if len(self.apart) > CACHED:
-                self.apart.clear()
-            found = self.apart[a, b] = self.merge(self.bytes[a] + self.bytes[b]) == [a, b]
+            if len(self.seams) >= CACHED:
+                self.seams.clear()
+            found = self.seams[a, b] = self.merge(self.bytes[a] + self.bytes[b])
         return found
 
+    def stays(self, a: int, b: int) -> bool:
+        """Do these two tokens stay apart when encoded together?"""
+        return self.seam(a, b) == [a, b]
+
     def merge(self, data: bytes) -> list[int]:
         """The pair of the lowest rank, the leftmost first, becomes one token until none is left."""
         ranks = self.ranks
@@ -128,10 +141,11 @@ class Codec:
         return [ranks[p] for p in parts if p is not None]
 
     def decode(self, ids: np.ndarray) -> bytes:
-        if len(ids) <= 4096:
-            return b"".join([self.bytes[i] for i in ids.tolist()])
-        middle = len(ids) // 2
-        return self.decode(ids[:middle]) + self.decode(ids[middle:])
+        parts = [self.bytes[i] for i in ids.tolist()]
+        while len(parts) > 1:
+            odd = parts[-1:] if len(parts) % 2 else []
+            parts = [a + b for a, b in zip(parts[::2], parts[1::2])] + odd
+        return parts[0] if parts else b""
 
 
 class _Known(dict):

@@ -460,6 +460,29 @@ def test_bpe_equals_the_library(spark):
     assert bpe.encode(empty(spark), MULTI, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_joins_every_piece_up_the_tree():
+    joined = []
+
+    class Counted(bpe.Codec):
+        def join(self, left, right):
+            joined.append((left, right))
+            return super().join(left, right)
+
+    own = Counted(MULTI, public_tokenizers.PATTERN)
+    text = "The quick brown fox. A second sentence of usual words!"
+    pieces = {p.encode() for p in own.findall(text)}
+    ids = own.encode(text)
+    below = [p for p in pieces if len(p) > 1]
+    assert len(joined) >= len(below) and all(p in own.subtrees for p in below)
+    n = len(joined)
+    assert own.encode(text) == ids and len(joined) == n  # results are remembered
+    for token, rank in list(own.ranks.items())[:3000]:  # merges lead to each token
+        assert own.reduce(token) == [rank]
+    assert own.decode(np.frombuffer(ids, "<u4")) == text.encode()
+    for n in range(70):  # any shape of the tree
+        assert own.decode(np.arange(n, dtype="<u4") + 300) == b"".join(own.bytes[300:300 + n])
+
+
 # pipeline -------------------------------------------------------------------------------------------
 
 
