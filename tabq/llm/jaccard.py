@@ -344,6 +344,17 @@ def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
     return known.join(several, "sig").select("sig", "node", "n", "most", "root")
 
 
+def _distinct_buckets(members: DataFrame) -> DataFrame:
+    """Buckets (sig, node, n, most) of several sets, one for all signatures that the same sets share:
+    copies of a passage share a signature for each of its rare shingles. The greatest bound serves. Equal
+    sets of nodes are known by a hash; if others have it too, their buckets become one and lose no pair."""
+    members = members.select("sig", "node", "n", "most").distinct()
+    met = members.groupBy("sig").agg(
+        F.bit_xor(F.xxhash64("node")).alias("by"), F.count("*").alias("size")).where("size > 1")
+    return members.join(met.drop("size"), "sig").groupBy(F.col("by").alias("sig"), "node").agg(
+        F.max("n").alias("n"), F.max("most").alias("most"))
+
+
 def _near(two: str):
     """Do the parities differ in no more places than linked sets can differ in shingles? These are a
     seventh of both sizes' sum. The other set's columns end in `two`."""
@@ -411,7 +422,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     # Once more in buckets that hold several components. Around the set that meets the most others:
     # copies that were changed in different places may be similar to their origin only. And around two
     # drawn ones: members that link with a share of the others grow together by a few such stars.
-    mixed = stored(_mixed(members.select("sig", "node", "n", "most").distinct(), roots))
+    mixed = stored(_mixed(_distinct_buckets(members), roots))
     met = mixed.join(mixed.groupBy("sig").agg(F.count("*").alias("size")), "sig").groupBy("node").agg(
         F.sum("size").alias("weight"))
     drawn = F.xxhash64("node", "sig")
@@ -432,9 +443,11 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
     # all pairs of one bucket that the stars left in different components
     mixed = stored(_mixed(mixed.drop("root"), roots).join(bits.drop("n"), "node"))
-    other = mixed.select(*(F.col(c).alias(c + "2") for c in mixed.columns))
-    found = mixed.join(other, (F.col("sig") == F.col("sig2")) & (F.col("root") < F.col("root2"))
-                       & _may_link() & _near("2"))
+    # aliases, not new names: so both sides are one shuffle
+    met = mixed.alias("one").join(mixed.alias("two"), F.col("one.sig") == F.col("two.sig")).select(
+        *(F.col(f"one.{c}") for c in mixed.columns),
+        *(F.col(f"two.{c}").alias(c + "2") for c in mixed.columns))
+    found = met.where((F.col("root") < F.col("root2")) & _may_link() & _near("2"))
     rest = stored(_possible(found).join(pairs, ["a", "b"], "left_anti"))
     roots = components(links.union(checkpoint(_links(texts, rest))))
 

@@ -173,6 +173,18 @@ def test_jaccard_signatures_are_shared_by_every_linked_pair():
             assert any(7 * min(bx[s], by[s]) >= 3 * (len(keys) + len(other)) for s in bx.keys() & by)
 
 
+def test_jaccard_buckets_of_the_same_sets_become_one(spark):
+    rows = [(1, 10, 8, 5), (1, 11, 9, 6), (2, 10, 8, 7), (2, 11, 9, 4), (2, 11, 9, 4),  # the same sets
+            (3, 10, 8, 8), (3, 11, 9, 9), (3, 12, 9, 9),  # one more
+            (4, 13, 8, 8)]  # alone
+    found = jaccard._distinct_buckets(spark.createDataFrame(rows, "sig long, node long, n int, most int"))
+    buckets = {}
+    for r in found.collect():
+        buckets.setdefault(r.sig, []).append((r.node, r.n, r.most))
+    assert sorted(map(sorted, buckets.values())) == [
+        [(10, 8, 7), (11, 9, 6)], [(10, 8, 8), (11, 9, 9), (12, 9, 9)]]
+
+
 def test_jaccard_parities_differ_in_no_more_places_than_the_sets():
     rng = np.random.default_rng(8)
     for n in (1, 7, 100, 700, 5000):
