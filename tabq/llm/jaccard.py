@@ -311,16 +311,15 @@ def _links(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root) of every node with a link; root is the smallest node it reaches. Alternates
-    stars around smallest neighbours until nothing changes."""
+    """(node, root) of every node that reaches a smaller one; root is the smallest. Alternates stars
+    around smallest neighbours until nothing changes."""
     edges = checkpoint(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                        .where("u <> v").distinct())
     before = None
     while True:
         state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -331,6 +330,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             F.col("v").alias("u"), F.col("m").alias("v")).union(least).distinct())
 
 
+def _known(roots: DataFrame) -> DataFrame:
+    """Components as links, so that what comes next goes on from their stars."""
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
 def _may_link():
     """Can two sets of a bucket share enough? The overlap must be 3/7 of both sizes' sum."""
     return 7 * F.least("most", "most2") >= 3 * (F.col("n") + F.col("n2"))
@@ -416,8 +420,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     # all texts that can be compared, now or below
     texts = stored(docs.select("text").mapInArrow(
         _texts(_filter(members.select("node"))), "node long, text binary"))
-    links = checkpoint(_links(texts, pairs))
-    roots = components(links)
+    roots = components(checkpoint(_links(texts, pairs)))
 
     # Once more in buckets that hold several components. Around the set that meets the most others:
     # copies that were changed in different places may be similar to their origin only. And around two
@@ -438,8 +441,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
                                        for c in ("node", "n", "most", "root")))
     more = stored(_close(_possible(starred.where("root <> root2")).join(
         pairs, ["a", "b"], "left_anti"), bits))
-    pairs, links = pairs.union(more), links.union(checkpoint(_links(texts, more)))
-    roots = components(links)
+    pairs = pairs.union(more)
+    roots = components(_known(roots).union(checkpoint(_links(texts, more))))
 
     # all pairs of one bucket that the stars left in different components
     mixed = stored(_mixed(mixed.drop("root"), roots).join(bits.drop("n"), "node"))
@@ -449,7 +452,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         *(F.col(f"two.{c}").alias(c + "2") for c in mixed.columns))
     found = met.where((F.col("root") < F.col("root2")) & _may_link() & _near("2"))
     rest = stored(_possible(found).join(pairs, ["a", "b"], "left_anti"))
-    roots = components(links.union(checkpoint(_links(texts, rest))))
+    roots = components(_known(roots).union(checkpoint(_links(texts, rest))))
 
     named = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(
         roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
