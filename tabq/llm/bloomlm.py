@@ -1,14 +1,19 @@
 """Language-model scores from a log-frequency Bloom filter of n-gram counts.
 
-A count c is kept as its level 1 + floor(log2 c): an n-gram enters the filter with each level up to
-its own, and a reader probes level after level until one is missing. What a level stands for is the
-mean count of the n-grams that reached it. The filter holds the words and the pairs of neighbours of
-the training texts. A pair's probability is smoothed towards the word's:
+A count c is kept as its octave 1 + floor(log2 c) and the part of the octave it lies in: an n-gram
+enters the filter with each octave up to its own, then with each part up to its own, and a reader
+probes step after step until one is missing. A part stands for the middle of its counts; it is one
+count wide up to PARTS counts. The filter holds the words and the pairs of neighbours of the training
+texts. A pair's probability is smoothed towards the word's:
 
-    p(w | h) = (c(h w) + M p(w)) / (c(h) + M),   p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))
+    p(w | h) = (c(h w) + M p(w)) / (c(h) + M + E),   p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))
 
-The filter has BITS bits for each training token, in segments that are built where the n-grams of a
-segment meet; so it grows with the corpus, and each task holds one segment. All n-grams enter, at
+E is the mass that the filter's false positives add to a known history: a pair that never occurred is
+found once with the rate f of the filter, hence f V in all. So the probabilities after a history sum
+to one. The number of probes grows with log2 V, which keeps E below M.
+
+The filter has BITS bits for each training token and probe, in segments that are built where the n-grams
+of a segment meet; so it grows with the corpus, and each task holds one segment. All n-grams enter, at
 every size. Up to MOST_BYTES the filter is broadcast. A larger one stays a table in the shared folder:
 the distinct n-grams of each chunk of texts go to the segments they fall in, are probed there, and
 their levels come back to the chunk. Both ways give the same scores.
@@ -22,6 +27,7 @@ Rows that share a doc_id get a row each, an empty table none. Other columns are
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,13 +39,14 @@ from pyspark.sql import functions as F
 
 from tabq.llm.common import checkpoint, column_bytes, folded_words, hashes, mix, numbered, runs, small_batches, stored
 
-BITS = 6
-PROBES = 4
+BITS = 1.45
+FEWEST_PROBES = 4
 SEGMENT = 1 << 22  # bits
 MOST_BYTES = 256 << 20
 HEAVY = 1 << 22
 PRIOR = 2000.0  # M
-LEVELS = 40
+OCTAVES = 40
+PARTS = {1: 32, 2: 4}  # of an octave, at most; by order. Sums over many pairs need no finer ones
 CHUNK = 6 << 20  # bytes of text worked on at once
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _STEP = np.uint64(0x9FB21C651E98DF25)
@@ -122,8 +129,9 @@ def short_keys(keys: np.ndarray, order: int) -> np.ndarray:
     return (keys >> np.uint64(32)).astype(np.uint32) ^ np.uint32(order)
 
 
-def mixed_keys(short: np.ndarray, order: int, level: int) -> np.ndarray:
-    return mix(short.astype(np.uint64), 2 * level + order)
+def mixed_keys(short: np.ndarray, order: int, step) -> np.ndarray:
+    """Keys of the n-grams with a step, or one each."""
+    return mix(short.astype(np.uint64) | np.asarray(step).astype(np.uint64) << np.uint64(32), order)
 
 
 def position(mixed: np.ndarray, i: int) -> np.ndarray:
@@ -132,103 +140,143 @@ def position(mixed: np.ndarray, i: int) -> np.ndarray:
     return ((low + np.uint64(i) * step) % np.uint64(SEGMENT)).astype(np.int64)
 
 
-def _segment(key, table):
-    """A segment's bits, and by order and level how many n-grams there are and their counts."""
-    bits = np.zeros(SEGMENT, bool)
-    stats = np.zeros((2, 2, LEVELS))
-    for order in (1, 2):
-        own = table.filter(pc.equal(table.column("ord"), order))
-        all_ = np.frombuffer(b"".join(own.column("keys").to_pylist()), "<u4")
-        n = np.frombuffer(b"".join(own.column("counts").to_pylist()), "<u4")
-        keys, at = np.unique(all_, return_inverse=True)
-        n = np.bincount(at, n, len(keys))
-        level = np.minimum(np.floor(np.log2(n)).astype(int) + 1, LEVELS - 1)
-        for j in range(1, int(level.max(initial=0)) + 1):
-            mixed = mixed_keys(keys[level >= j], order, j)
-            for i in range(PROBES):
+def parts_of(octave: np.ndarray, order: int) -> np.ndarray:
+    """How many parts an octave has: as many as it has counts, up to PARTS."""
+    return np.minimum(1 << np.maximum(octave - 1, 0), PARTS[order])
+
+
+def codes(n: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The octaves of counts (at least 1) and the parts they lie in."""
+    octave = np.minimum(np.frexp(n)[1].astype(np.int64), OCTAVES - 1)
+    low = 1 << (octave - 1)
+    parts = parts_of(octave, order)
+    return octave, np.minimum((n.astype(np.int64) - low) * parts // low, parts - 1)
+
+
+def values(order: int) -> np.ndarray:
+    """What each code (octave * PARTS + part) stands for: the middle of its counts, 0 for none."""
+    octave, part = np.divmod(np.arange(OCTAVES * PARTS[order]), PARTS[order])
+    low = 1 << np.maximum(octave - 1, 0)
+    width = low // parts_of(octave, order)
+    return np.where(octave > 0, low + part * width + (width - 1) / 2, 0.0)
+
+
+def _segment(probes: int):
+    """A segment's bits and its share of false positives."""
+    def run(key, table):
+        bits = np.zeros(SEGMENT, bool)
+
+        def enter(keys, order, step):
+            mixed = mixed_keys(keys, order, step)
+            for i in range(probes):
                 bits[position(mixed, i)] = True
-            stats[order - 1, 0, j] = (level == j).sum()
-            stats[order - 1, 1, j] = n[level == j].sum()
-    return pa.table({"grp": pa.array([key[0].as_py()], pa.int32()),
-                     "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
-                     "stats": pa.array([stats.tobytes()], pa.binary())})
+
+        for order in (1, 2):
+            own = table.filter(pc.equal(table.column("ord"), order))
+            all_ = np.frombuffer(b"".join(own.column("keys").to_pylist()), "<u4")
+            n = np.frombuffer(b"".join(own.column("counts").to_pylist()), "<u4")
+            keys, at = np.unique(all_, return_inverse=True)
+            octave, part = codes(np.bincount(at, n, len(keys)), order)
+            for j in range(1, int(octave.max(initial=0)) + 1):
+                enter(keys[octave >= j], order, j * PARTS[order])
+            for k in range(1, int(part.max(initial=0)) + 1):
+                far = part >= k
+                enter(keys[far], order, octave[far] * PARTS[order] + k)
+        return pa.table({"grp": pa.array([key[0].as_py()], pa.int32()),
+                         "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
+                         "rate": pa.array([bits.mean() ** probes])})
+    return run
 
 
 # --- the model ---
 
 
-def probe(flat: np.ndarray, base: np.ndarray, short: np.ndarray, order: int) -> np.ndarray:
-    """Probe level after level; the last one found, 0 if none. base: the first byte of each segment."""
-    level, left = np.zeros(len(short), np.int64), np.arange(len(short))
-    for j in range(1, LEVELS):
-        mixed = mixed_keys(short[left], order, j)
-        for i in range(PROBES):
+def probe(flat: np.ndarray, base: np.ndarray, short: np.ndarray, order: int, probes: int) -> np.ndarray:
+    """Probe step after step, octaves first; the code of the last one found, 0 if none. base: the first
+    byte of each segment."""
+    def found(left, step):
+        mixed = mixed_keys(short[left], order, step)
+        for i in range(probes):
             at = position(mixed, i)
-            found = flat[base[left] + (at >> 3)] >> (at & 7).astype(np.uint8) & 1 > 0
-            left, mixed = left[found], mixed[found]
+            hit = flat[base[left] + (at >> 3)] >> (at & 7).astype(np.uint8) & 1 > 0
+            left, mixed = left[hit], mixed[hit]
+        return left
+
+    parts = PARTS[order]
+    code, left = np.zeros(len(short), np.int64), np.arange(len(short))
+    for j in range(1, OCTAVES):
+        left = found(left, j * parts)
         if not len(left):
             break
-        level[left] = j
-    return level
+        code[left] = j * parts
+    left = np.flatnonzero(code)
+    for k in range(1, parts):
+        left = left[parts_of(code[left] // parts, order) > k]
+        left = found(left, code[left] + 1)
+        if not len(left):
+            break
+        code[left] += 1
+    return code
 
 
 @dataclass
 class Smoothing:
-    counts: np.ndarray  # (order, level): what a level stands for
     n: int
     v: int
+    rate: float  # of false positives
 
     def log10(self, words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-        """log10 p of each token. words: levels of the tokens, then of their histories."""
-        count = self.counts[0][words]
+        """log10 p of each token. words: codes of the tokens, then of their histories."""
+        count = values(1)[words]
         own, history = count[:len(pairs)], count[len(pairs):]
-        pair = np.minimum(self.counts[1][pairs], history)
+        pair = np.minimum(values(2)[pairs], history)
         word = (own + 0.5) / (self.n + 0.5 * (self.v + 1))
-        return np.log10((np.minimum(pair, own) + PRIOR * word) / (history + PRIOR))
+        false = np.where(history > 0, self.rate * self.v, 0.0)
+        return np.log10((np.minimum(pair, own) + PRIOR * word) / (history + PRIOR + false))
 
 
 @dataclass
 class Model(Smoothing):
+    probes: int
     segments: np.ndarray  # (number, SEGMENT / 8)
 
     def levels(self, keys: np.ndarray, order: int) -> np.ndarray:
         base = (keys % np.uint64(len(self.segments))).astype(np.int64) * (SEGMENT // 8)
-        return probe(self.segments.reshape(-1), base, short_keys(keys, order), order)
+        return probe(self.segments.reshape(-1), base, short_keys(keys, order), order, self.probes)
 
     def log10(self, all_: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """log10 p of each token."""
-        before = histories(all_, sizes)
-        words, at = np.unique(np.concatenate((all_, before)), return_inverse=True)
-        return super().log10(self.levels(word_keys(words), 1)[at],
-                             self.levels(pair_keys(before, all_), 2))
+        grams = (_grams(all_, sizes, order) for order in (1, 2))
+        return super().log10(*(self.levels(keys, k + 1)[at] for k, (keys, at) in enumerate(grams)))
+
 
+def probes_of(v: int) -> int:
+    """Probes by which the false positives after a history, of v words, weigh less than PRIOR."""
+    return max(FEWEST_PROBES, math.ceil(math.log2(max(1, 2 * v / PRIOR))))
 
-def segments_of(n: int) -> int:
+
+def segments_of(n: int, probes: int = FEWEST_PROBES) -> int:
     """How many segments the filter of n training tokens has."""
-    return max(1, -(-n * BITS // SEGMENT))
+    return max(1, math.ceil(n * BITS * probes / SEGMENT))
 
 
-def build(train: DataFrame, segments: int, text: str = "text") -> DataFrame:
-    """grp, bits and stats of each segment of the filter of all training texts."""
+def build(train: DataFrame, segments: int, probes: int, text: str = "text") -> DataFrame:
+    """grp, bits and rate of each segment of the filter of all training texts."""
     return train.select(F.col(text).alias("text")).mapInArrow(
         _grouped(segments), "grp int, ord int, keys binary, counts binary").groupBy(
-        "grp").applyInArrow(_segment, "grp int, bits binary, stats binary")
-
-
-def level_counts(stats: np.ndarray) -> np.ndarray:
-    middle = np.concatenate(([0], 1.5 * 2.0 ** np.arange(LEVELS - 1)))  # of levels nothing is in
-    return np.where(stats[:, 0] > 0, stats[:, 1] / np.maximum(stats[:, 0], 1), middle)
+        "grp").applyInArrow(_segment(probes), "grp int, bits binary, rate double")
 
 
 def learn(train: DataFrame, n: int, v: int, text: str = "text") -> Model:
     """The filter of all training texts, of n tokens. It comes to the driver whole; `score` uses this
     up to MOST_BYTES."""
-    segments = segments_of(n)
-    bits, stats = np.zeros((segments, SEGMENT // 8), np.uint8), np.zeros((2, 2, LEVELS))
-    for row in build(train, segments, text).toLocalIterator():
+    probes = probes_of(v)
+    segments, rate = segments_of(n, probes), 0.0
+    bits = np.zeros((segments, SEGMENT // 8), np.uint8)
+    for row in build(train, segments, probes, text).toLocalIterator():
         bits[row.grp] = np.frombuffer(row.bits, np.uint8)
-        stats += np.frombuffer(row.stats).reshape(stats.shape)
-    return Model(level_counts(stats), n, v, bits)
+        rate += row.rate / segments
+    return Model(n, v, rate, probes, bits)
 
 
 # --- scoring ---
@@ -354,8 +402,12 @@ def _asked(segments: int):
     return run
 
 
-def _answered(key, asked, segment):
+def _answered(probes: int):
     """The levels of the n-grams that chunks ask a segment for."""
+    return lambda key, asked, segment: _answer(asked, segment, probes)
+
+
+def _answer(asked, segment, probes: int):
     names = ["chunk", "grp", "ord", "levels"]
     if asked.num_rows == 0:
         return pa.table({c: pa.array([], t) for c, t in zip(
@@ -365,8 +417,8 @@ def _answered(key, asked, segment):
     levels = []
     for order, keys in zip(asked.column("ord").to_pylist(), asked.column("keys").to_pylist()):
         short = np.frombuffer(keys, np.uint32)
-        levels.append(probe(flat, np.zeros(len(short), np.int64), short, order)
-                      .astype(np.uint8).tobytes())
+        levels.append(probe(flat, np.zeros(len(short), np.int64), short, order, probes)
+                      .astype("<u2").tobytes())
     return asked.select(["chunk", "grp", "ord"]).append_column(
         "levels", pa.array(levels, pa.binary()))
 
@@ -379,9 +431,9 @@ def _chunk_scores(smoothing: Smoothing, segments: int, heavy):
         for order in (1, 2):
             keys, at = _grams(all_, sizes, order)
             own = answers.filter(pc.equal(answers.column("ord"), order)).sort_by("grp")
-            found = np.empty(len(keys), np.uint8)
+            found = np.empty(len(keys), np.int64)
             found[_by_segment(keys, segments)[1]] = np.frombuffer(
-                b"".join(own.column("levels").to_pylist()), np.uint8)
+                b"".join(own.column("levels").to_pylist()), "<u2")
             levels.append(found[at])
         first = np.cumsum(sizes) - sizes
         own = [pc.list_flatten(chunk.column(c)) for c in ("row", "doc_id", "held_out", "sizes")]
@@ -401,10 +453,9 @@ def _light_chunks(heavy):
 def _score_by_table(rows: DataFrame, kind: str, segments: int, n: int, v: int, total: int, heavy,
                     fields: str) -> tuple[DataFrame, DataFrame]:
     """What `_scores` and `_light` give, with a filter of any size."""
-    filter_ = stored(build(rows.where(~F.col("held_out")), segments))
-    stats = np.zeros((2, 2, LEVELS))
-    for row in filter_.select("stats").toLocalIterator():
-        stats += np.frombuffer(row.stats).reshape(stats.shape)
+    probes = probes_of(v)
+    filter_ = stored(build(rows.where(~F.col("held_out")), segments, probes))
+    rate = filter_.agg(F.coalesce(F.sum("rate"), F.lit(0.0))).first()[0] / segments
     # stored: chunks and row numbers depend on how the files are split
     chunks = stored(rows.mapInArrow(
         _stored_chunks, f"chunk long, row array<long>, doc_id array<{kind}>, held_out array<boolean>, "
@@ -417,9 +468,9 @@ def _score_by_table(rows: DataFrame, kind: str, segments: int, n: int, v: int, t
     bits = filter_.select("grp", "bits", F.explode(F.sequence(
         F.lit(0).cast("long"), F.lit(places - 1).cast("long"))).alias("place"))
     answers = asked.groupBy("grp", "place").cogroup(bits.groupBy("grp", "place")).applyInArrow(
-        _answered, "chunk long, grp int, ord int, levels binary")
+        _answered(probes), "chunk long, grp int, ord int, levels binary")
     scored = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _chunk_scores(Smoothing(level_counts(stats), n, v), segments, heavy), fields)
+        _chunk_scores(Smoothing(n, v, rate), segments, heavy), fields)
     return scored, chunks.select("row", "sizes", "words", "at").mapInArrow(
         _light_chunks(heavy), "row long, h long, k int")
 
@@ -445,7 +496,7 @@ def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     fields = (f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, "
               "score double")
-    segments = segments_of(n)
+    segments = segments_of(n, probes_of(v))
     if segments * (SEGMENT // 8) <= MOST_BYTES:
         model = context.broadcast(learn(rows.where(~F.col("held_out")), n, v))
         scored = rows.mapInArrow(_scores(model, heavy), fields)

@@ -67,7 +67,56 @@ def test_lm_probabilities_sum_to_about_one(spark):
     keys = np.append(bloomlm.hashes(ends), bloomlm.END)
     pairs = np.concatenate([[first[0], k] for k in keys])
     each = model.log10(pairs, np.full(len(keys), 2))[1::2]
-    assert (10.0 ** each).sum() == pytest.approx(1, abs=0.35)  # counts are kept as levels
+    assert (10.0 ** each).sum() == pytest.approx(1, abs=0.02)
+
+
+def test_lm_counts_are_kept_in_narrow_parts():
+    n = np.unique(np.concatenate((np.arange(1, 5000), 2 ** np.arange(1, 35), 3 ** np.arange(1, 20))))
+    for order, width in ((1, 1 / 64), (2, 1 / 8)):
+        octave, part = bloomlm.codes(n, order)
+        kept = bloomlm.values(order)[octave * bloomlm.PARTS[order] + part]
+        assert (abs(kept - n) <= n * width).all()
+        assert (kept == n)[n < 2 * bloomlm.PARTS[order]].all()
+    assert bloomlm.values(1)[0] == 0
+
+
+def zipfian(seed, texts, length, vocabulary):
+    """Texts of many rare and some frequent words, each frequent one with words it prefers."""
+    rng = np.random.default_rng(seed)
+    made = []
+    for _ in range(texts):
+        w = (vocabulary ** rng.random(length)).astype(int)
+        follows = np.flatnonzero((w[:-1] < 40) & (rng.random(length - 1) < 0.5))
+        w[follows + 1] = w[follows] * 7 + rng.integers(0, 3, len(follows))
+        made.append(" ".join(f"w{x}" for x in w))
+    return made
+
+
+def test_lm_is_the_smoothed_model_of_the_exact_counts(spark):
+    """Brute force over a vocabulary of thousands: sums of one after every kind of history, and scores
+    near those of exact counts."""
+    texts = zipfian(5, 300, 400, 40_000)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    train = [(i, t.split() + [None]) for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1]
+    word = Counter(w for _, ws in train for w in ws)
+    pair = Counter(p for _, ws in train for p in zip([0, *ws], ws))
+    n, v = sum(word.values()), len(word)
+    assert v > 10_000
+    held_out = fold("doc_id", 5) == 1
+    model = bloomlm.learn(df.where(~held_out), n, v)
+    vocabulary = np.append(bloomlm.hashes([w.encode() for w in word if w]), bloomlm.END)
+    ranked = [w for w, _ in word.most_common() if w]
+    for h in [*ranked[:20], *ranked[100:2000:190], ranked[-1], "never seen"]:
+        first = np.full(len(vocabulary), bloomlm.hashes([h.encode()])[0])
+        each = model.log10(np.stack((first, vocabulary), 1).reshape(-1), np.full(len(vocabulary), 2))[1::2]
+        unknown = bloomlm.PRIOR * 0.5 / (n + 0.5 * (v + 1)) / (word[h] + bloomlm.PRIOR)
+        assert (10.0 ** each).sum() + unknown == pytest.approx(1, abs=0.02), h
+    history = Counter(word) + Counter({0: len(train)})
+    for r in bloomlm.score(df, held_out).collect():
+        ws = texts[r.doc_id].split() + [None]
+        exact = [(min(pair[h, w], word[w]) + bloomlm.PRIOR * (word[w] + 0.5) / (n + 0.5 * (v + 1)))
+                 / (history[h] + bloomlm.PRIOR) for h, w in zip([0, *ws], ws)]
+        assert r.score == pytest.approx(np.log10(exact).sum(), rel=0.02)
 
 
 def test_lm_scores_are_the_same_by_a_filter_that_is_not_broadcast(spark, monkeypatch):
