@@ -134,10 +134,10 @@ def mixed_keys(short: np.ndarray, order: int, step) -> np.ndarray:
     return mix(short.astype(np.uint64) | np.asarray(step).astype(np.uint64) << np.uint64(32), order)
 
 
-def position(mixed: np.ndarray, i: int) -> np.ndarray:
-    """The bit of the i-th probe in the n-gram's segment."""
-    low, step = mixed & np.uint64(0xFFFFFFFF), mixed >> np.uint64(32) | np.uint64(1)
-    return ((low + np.uint64(i) * step) % np.uint64(SEGMENT)).astype(np.int64)
+def places(mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first probe's place in the n-gram's segment and the step to the next, both modulo SEGMENT."""
+    return ((mixed & np.uint64(0xFFFFFFFF)).astype(np.int64),
+            (mixed >> np.uint64(32) | np.uint64(1)).astype(np.int64))
 
 
 def parts_of(octave: np.ndarray, order: int) -> np.ndarray:
@@ -167,9 +167,10 @@ def _segment(probes: int):
         bits = np.zeros(SEGMENT, bool)
 
         def enter(keys, order, step):
-            mixed = mixed_keys(keys, order, step)
-            for i in range(probes):
-                bits[position(mixed, i)] = True
+            at, next_ = places(mixed_keys(keys, order, step))
+            for _ in range(probes):
+                bits[at & (SEGMENT - 1)] = True
+                at += next_
 
         for order in (1, 2):
             own = table.filter(pc.equal(table.column("ord"), order))
@@ -195,12 +196,15 @@ def probe(flat: np.ndarray, base: np.ndarray, short: np.ndarray, order: int, pro
     """Probe step after step, octaves first; the code of the last one found, 0 if none. base: the first
     byte of each segment."""
     def found(left, step):
-        mixed = mixed_keys(short[left], order, step)
-        for i in range(probes):
-            at = position(mixed, i)
-            hit = flat[base[left] + (at >> 3)] >> (at & 7).astype(np.uint8) & 1 > 0
-            left, mixed = left[hit], mixed[hit]
-        return left
+        at, next_ = places(mixed_keys(short[left], order, step))
+        first, all_hit = base[left], np.ones(len(left), np.uint8)
+        for _ in range(probes):
+            all_hit &= flat[first + ((at & (SEGMENT - 1)) >> 3)] >> (at & 7).astype(np.uint8)
+            at += next_
+            if 4 * np.count_nonzero(all_hit) < 3 * len(left):  # go on without those that are missing
+                hit = all_hit > 0
+                left, at, next_, first, all_hit = (x[hit] for x in (left, at, next_, first, all_hit))
+        return left[all_hit > 0]
 
     parts = PARTS[order]
     code, left = np.zeros(len(short), np.int64), np.arange(len(short))
@@ -371,9 +375,12 @@ def _tokens_of(batch, i: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _grams(all_: np.ndarray, sizes: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """A chunk's distinct n-grams, and which are its tokens (of words: then their histories)."""
-    before = histories(all_, sizes)
-    keys = word_keys(np.concatenate((all_, before))) if order == 1 else pair_keys(before, all_)
-    return np.unique(keys, return_inverse=True)
+    if order == 2:
+        return np.unique(pair_keys(histories(all_, sizes), all_), return_inverse=True)
+    keys, own = np.unique(word_keys(np.append(all_, START)), return_inverse=True)
+    before = np.concatenate((own[:1], own[:-2]))
+    before[np.cumsum(sizes) - sizes] = own[-1]
+    return keys, np.concatenate((own[:-1], before))
 
 
 def _by_segment(keys: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:

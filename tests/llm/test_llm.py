@@ -317,6 +317,31 @@ def test_quality_verdicts(spark):
     assert quality.judge(empty(spark), same).count() == 0
 
 
+def test_quality_score_is_the_mean_log_ratio_of_its_ngrams(spark):
+    """Brute force with a bucket for each n-gram (enough of them that none collide)."""
+    texts = sentences(12, 30, 40) + [" ".join(reversed(t.split())) for t in sentences(13, 30, 40)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    trusted = spark.createDataFrame([(i,) for i in range(30)] + [(3,), (None,), (999,)], "doc_id long")
+    ratios = quality.learn(df, trusted, buckets=1 << 20)
+
+    def grams(text):
+        w = (text or "").split()
+        ends = [x[-3:] for x in w]
+        return [*zip(w), *zip(ends, ends[1:]), *zip(ends[-1:])]
+
+    raw = Counter(g for t in texts for g in grams(t))
+    target = Counter(g for t in texts[:30] for g in grams(t))
+    n, n_target, s = sum(raw.values()), sum(target.values()), quality.SMOOTHING
+
+    def ratio(g):
+        share = raw[g] / n
+        return np.log((target[g] + s * share) / (n_target + s) / share)
+
+    for r in quality.score(df, ratios).collect():
+        own = [ratio(g) for g in grams(r.text)]
+        assert r.score == (pytest.approx(np.mean(own)) if own else None)
+
+
 # 7 packing ------------------------------------------------------------------------------------------
 
 
