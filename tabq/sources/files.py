@@ -131,12 +131,14 @@ def partitioned(df, name, columns, base=None, files=1):
     """``handoff`` with one folder for each value of the columns, so that filters on them, also those
     that follow from a joined table, leave folders unread.
 
-    Rows are first brought together by value, ``files`` parts each, spread by row number: a value that
-    holds a large part of the table is written by as many tasks, and small ones do not leave a file
-    for every task that met them.
+    Rows are first brought together by value, ``files`` parts each, spread by row number. Adaptive
+    execution cuts a part that is larger than its advisory size among several tasks and merges small
+    ones: no task's rows grow with the table, however large a value is, and small values do not leave
+    a file for every task that met them.
     """
     part = F.pmod(F.monotonically_increasing_id(), F.lit(files))
-    together = df.withColumn("_part", part).repartition(*columns, "_part").drop("_part")
+    together = df.withColumn("_part", part).hint(
+        "rebalance", *[F.col(quoted(c)) for c in columns], F.col("_part")).drop("_part")
     return handoff(together, name, base, partition_by=columns)
 
 

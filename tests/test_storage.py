@@ -166,6 +166,25 @@ def test_partitions_are_pruned_by_value_and_by_another_table(spark, tmp_path):
     assert "dynamicpruning" in plan(met) and met.count() == 142
 
 
+@pytest.fixture
+def small_parts(spark):
+    """Adaptive execution with an advisory size of a few hundred rows."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "4k")
+    yield spark
+    spark.conf.set(name, before)
+
+
+def test_a_large_value_is_written_by_several_tasks(small_parts, tmp_path):
+    fact = small_parts.range(40000).repartition(8).select(
+        F.xxhash64("id").alias("id"), F.when(F.col("id") % 40 > 0, 1995).alias("year"))
+    table = files.partitioned(fact, "facts", ["year"], str(tmp_path))
+    assert sorted(map(tuple, table.collect()), key=str) == sorted(map(tuple, fact.collect()), key=str)
+    of_year = table.filter("year = 1995").groupBy(F.input_file_name()).count().collect()
+    assert len(of_year) >= 6 and max(r["count"] for r in of_year) <= 39000 / 4
+
+
 def test_scalar_subquery_prunes_the_best_years_folder(spark, tmp_path):
     rows = [(datetime.datetime(2010 + i % 3, 1 + i % 4, 1), f"p{i % 5}", float(i % 3), i % 9)
             for i in range(200)]
