@@ -501,13 +501,14 @@ def _(s):
     return found.select("value", "n")
 
 
-BUCKETS = 16
+BUCKETS = 16  # at least
 
 
 @query("star_trips_bucketed")
 def _(s):
     """The fact laid out by origin, joined and summed up by origin without moving it."""
-    star = s.trips().laid_out("air_", BUCKETS)
+    trips = s.trips()
+    star = trips.laid_out("air_", files.buckets_for(trips.fact, BUCKETS))
     joined = star.bucketed_join("air_")
     return joined.groupBy("fl_origin").agg(
         F.count(F.lit(1)).alias("n"), F.sum("fl_distance").alias("distance"),

@@ -13,6 +13,7 @@ from tabq.functions.predicates import literal, quoted
 from tabq.sources import schemas
 
 NULL_TEXT = "\\N"  # NULL in the files of write_csv, where an empty text stays an empty text
+BUCKET_ROWS = 2_000_000
 LINE = "_line"  # the text of a record that does not fit
 
 
@@ -148,17 +149,24 @@ def bucketed(df, name, columns, buckets, base=None):
     Joins on exactly these columns with a table of as many buckets, and groups by them, need no
     shuffle of it; it is laid out once for all reports that use the key. The table's files are in the
     shared folder; the session knows it under a name of its own. All rows of a key are in one bucket,
-    so a key with a large part of all rows is better joined by ``Star.join`` with ``heavy``.
+    so a key with a large part of all rows is better joined by ``Star.join`` with ``heavy``. Adaptive
+    execution has a large bucket written by several tasks, which write a file of it each.
     """
     spark = df.sparkSession
     path = new_path(spark, name, base)
     table = f"{name}_{uuid.uuid4().hex}"
-    laid = df.repartition(buckets, *[F.col(quoted(c)) for c in columns])
+    laid = df.hint("rebalance", buckets, *[F.col(quoted(c)) for c in columns])
     laid.write.format("parquet").option("path", path).bucketBy(buckets, *columns).sortBy(
         *columns).saveAsTable(table)
     return spark.table(table)
 
 
+def buckets_for(df, least=1, rows=BUCKET_ROWS):
+    """How many buckets hold about ``rows`` rows each, so that the task that joins one does not grow
+    with the table."""
+    return max(least, -(-df.count() // rows))
+
+
 def is_local(path, spark):
     """Whether the path is on a machine's own disk: by its scheme, else by the default file system."""
     scheme = urlsplit(path).scheme or urlsplit(

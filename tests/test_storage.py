@@ -185,6 +185,20 @@ def test_a_large_value_is_written_by_several_tasks(small_parts, tmp_path):
     assert len(of_year) >= 6 and max(r["count"] for r in of_year) <= 39000 / 4
 
 
+def test_a_large_bucket_is_written_by_several_tasks(small_parts, tmp_path):
+    fact = small_parts.range(40000).repartition(8).select(
+        F.xxhash64("id").alias("id"), F.when(F.col("id") % 40 > 0, "hot").alias("key"))
+    table = files.bucketed(fact, "facts", ["key"], 4, str(tmp_path))
+    assert sorted(map(tuple, table.collect()), key=str) == sorted(map(tuple, fact.collect()), key=str)
+    of_key = table.filter("key = 'hot'").groupBy(F.input_file_name()).count().collect()
+    assert len(of_key) >= 6 and max(r["count"] for r in of_key) <= 39000 / 4
+    assert "Exchange" not in plan(table.groupBy("key").count())
+
+
+def test_buckets_grow_with_the_table(spark):
+    assert [files.buckets_for(spark.range(n), 4, rows=100) for n in (0, 400, 401, 5000)] == [4, 4, 5, 50]
+
+
 def test_scalar_subquery_prunes_the_best_years_folder(spark, tmp_path):
     rows = [(datetime.datetime(2010 + i % 3, 1 + i % 4, 1), f"p{i % 5}", float(i % 3), i % 9)
             for i in range(200)]
