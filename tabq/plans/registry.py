@@ -40,6 +40,9 @@ class Source:
     def table(self, name):
         return files.read_parquet(self.spark, f"{self.folder}/{name}.parquet")
 
+    def spread(self, name):
+        return files.spread(self.table(name))
+
     def frame(self, analogue, *columns):
         return analogue.frame(self.table, columns or None)
 
@@ -56,6 +59,9 @@ class Source:
         return self.frame(analogues.PEOPLE, *columns)
 
     def places(self, *columns):
+        """All columns are over a hundred from a few stored ones, so the stored rows are spread first."""
+        if not columns:
+            return analogues.PLACES.frame(self.spread)
         return self.frame(analogues.PLACES, *columns)
 
     def typed_places(self, *columns):

@@ -14,6 +14,7 @@ from tabq.sources import schemas
 
 NULL_TEXT = "\\N"  # NULL in the files of write_csv, where an empty text stays an empty text
 BUCKET_ROWS = 2_000_000
+SPREAD_ROWS = 20_000
 LINE = "_line"  # the text of a record that does not fit
 
 
@@ -90,6 +91,13 @@ def read_parquet(spark, path):
     return spark.read.parquet(path)
 
 
+def spread(df, rows=SPREAD_ROWS):
+    """The rows over parts of about ``rows`` each, for work that takes long for each byte read: the
+    parts of a scan follow the bytes and row groups, so a small file is one task's."""
+    parts = -(-df.count() // rows)
+    return df.repartition(parts) if parts > 1 else df
+
+
 def write_parquet(df, path, mode="errorifexists", partition_by=()):
     writer = df.write.mode(mode)
     if partition_by:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tabq.operators import distinct, expect, heavy, moments, profile
 from tabq.operators.star import Dimension, Star
+from tabq.plans import analogues, cleaning
+from tabq.plans.registry import QUERIES, Source
 from tabq.plans.reports import retail
 from tabq.sources import files, schemas
 
@@ -199,6 +201,23 @@ def test_buckets_grow_with_the_table(spark):
     assert [files.buckets_for(spark.range(n), 4, rows=100) for n in (0, 400, 401, 5000)] == [4, 4, 5, 50]
 
 
+def test_wide_places_are_spread_from_a_small_file(spark, tmp_path):
+    customers = spark.range(2 * files.SPREAD_ROWS + 1).select(
+        F.col("id").alias("c_custkey"), (F.col("id") % 25).cast("int").alias("c_nationkey"))
+    customers.coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    source = Source(spark, str(tmp_path))
+    assert source.table("customer").rdd.getNumPartitions() == 1
+    for name in ("clean_places", "clean_places_float"):
+        cleaned = QUERIES[name](spark, str(tmp_path))
+        parts = cleaned.groupBy(F.spark_partition_id()).count().collect()
+        assert len(parts) == 3 and max(r["count"] for r in parts) < files.SPREAD_ROWS
+    chosen = ["communityname", "state", "population", "ViolentCrimesPerPop"]
+    plain = cleaning.type_all(analogues.PLACES.frame(source.table))
+    hashed = [df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*chosen).cast("decimal(38,0)"))).first()
+              for df in (source.typed_places(), plain)]
+    assert hashed[0] == hashed[1] and hashed[0][0] == customers.count()
+
+
 def test_scalar_subquery_prunes_the_best_years_folder(spark, tmp_path):
     rows = [(datetime.datetime(2010 + i % 3, 1 + i % 4, 1), f"p{i % 5}", float(i % 3), i % 9)
             for i in range(200)]
