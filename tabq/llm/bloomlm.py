@@ -28,7 +28,7 @@ Rows that share a doc_id get a row each, an empty table none. Other columns are
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +48,8 @@ PRIOR = 2000.0  # M
 OCTAVES = 40
 PARTS = {1: 32, 2: 4}  # of an octave, at most; by order. Sums over many pairs need no finer ones
 CHUNK = 6 << 20  # bytes of text worked on at once
+RUN = 1 << 15  # n-grams that are probed together
+REMEMBERED = 1 << 19  # n-grams of each order
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
@@ -135,9 +137,9 @@ def mixed_keys(short: np.ndarray, order: int, step) -> np.ndarray:
 
 
 def places(mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first probe's place in the n-gram's segment and the step to the next, both modulo SEGMENT."""
-    return ((mixed & np.uint64(0xFFFFFFFF)).astype(np.int64),
-            (mixed >> np.uint64(32) | np.uint64(1)).astype(np.int64))
+    """The first probe's place in the n-gram's segment and the step to the next, both modulo SEGMENT.
+    They may be added up beyond 32 bits: SEGMENT divides what is lost."""
+    return mixed.astype(np.uint32), (mixed >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def parts_of(octave: np.ndarray, order: int) -> np.ndarray:
@@ -194,17 +196,30 @@ def _segment(probes: int):
 
 def probe(flat: np.ndarray, base: np.ndarray, short: np.ndarray, order: int, probes: int) -> np.ndarray:
     """Probe step after step, octaves first; the code of the last one found, 0 if none. base: the first
-    byte of each segment."""
+    byte of each segment. n-grams of a segment are best side by side, as they are worked on in runs
+    that stay in the processor's cache with what they read."""
+    code = np.empty(len(short), np.int64)
+    for a in range(0, len(short), RUN):
+        code[a:a + RUN] = _probe(flat, base[a:a + RUN], short[a:a + RUN], order, probes)
+    return code
+
+
+def _probe(flat: np.ndarray, base: np.ndarray, short: np.ndarray, order: int, probes: int) -> np.ndarray:
     def found(left, step):
-        at, next_ = places(mixed_keys(short[left], order, step))
-        first, all_hit = base[left], np.ones(len(left), np.uint8)
+        at, next_ = places(mixed_keys(short.take(left), order, step))
+        first, all_hit = base.take(left), np.ones(len(left), np.uint8)
         for _ in range(probes):
-            all_hit &= flat[first + ((at & (SEGMENT - 1)) >> 3)] >> (at & 7).astype(np.uint8)
+            byte = flat.take(first + ((at & np.uint32(SEGMENT - 1)) >> np.uint32(3)))
+            byte >>= at.astype(np.uint8) & np.uint8(7)
+            all_hit &= byte
             at += next_
-            if 4 * np.count_nonzero(all_hit) < 3 * len(left):  # go on without those that are missing
-                hit = all_hit > 0
-                left, at, next_, first, all_hit = (x[hit] for x in (left, at, next_, first, all_hit))
-        return left[all_hit > 0]
+            hits = np.count_nonzero(all_hit.view(bool))
+            if not hits:
+                break
+            if 4 * hits < 3 * len(left):  # go on without those that are missing
+                hit = np.flatnonzero(all_hit)
+                left, at, next_, first, all_hit = (x.take(hit) for x in (left, at, next_, first, all_hit))
+        return left[all_hit.view(bool)]
 
     parts = PARTS[order]
     code, left = np.zeros(len(short), np.int64), np.arange(len(short))
@@ -216,9 +231,9 @@ def probe(flat: np.ndarray, base: np.ndarray, short: np.ndarray, order: int, pro
     left = np.flatnonzero(code)
     for k in range(1, parts):
         left = left[parts_of(code[left] // parts, order) > k]
-        left = found(left, code[left] + 1)
         if not len(left):
             break
+        left = found(left, code[left] + 1)
         code[left] += 1
     return code
 
@@ -243,10 +258,28 @@ class Smoothing:
 class Model(Smoothing):
     probes: int
     segments: np.ndarray  # (number, SEGMENT / 8)
+    remembered: dict = field(default_factory=dict)  # by order: n-grams, sorted, and their codes
 
     def levels(self, keys: np.ndarray, order: int) -> np.ndarray:
-        base = (keys % np.uint64(len(self.segments))).astype(np.int64) * (SEGMENT // 8)
-        return probe(self.segments.reshape(-1), base, short_keys(keys, order), order, self.probes)
+        """Codes of distinct n-grams, in order. Those found often are remembered from chunk to chunk."""
+        known, own = self.remembered.get(order, (keys[:0], np.empty(0, np.uint16)))
+        at = np.searchsorted(known, keys)
+        new = np.ones(len(keys), bool)
+        if len(known):
+            new = known[np.minimum(at, len(known) - 1)] != keys
+        code = np.empty(len(keys), np.int64)
+        code[~new] = own[at[~new]]
+        asked, at = keys[new], at[new]
+        segment, place = _by_segment(asked, len(self.segments))
+        found = np.empty(len(asked), np.int64)
+        found[place] = probe(self.segments.reshape(-1), segment[place] * (SEGMENT // 8),
+                             short_keys(asked[place], order), order, self.probes)
+        code[new] = found
+        often = np.flatnonzero(found >= order * PARTS[order])[:max(0, REMEMBERED - len(known))]
+        if len(often):
+            self.remembered[order] = (np.insert(known, at[often], asked[often]),
+                                      np.insert(own, at[often], found[often].astype(np.uint16)))
+        return code
 
     def log10(self, all_: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """log10 p of each token."""
@@ -386,7 +419,8 @@ def _grams(all_: np.ndarray, sizes: np.ndarray, order: int) -> tuple[np.ndarray,
 def _by_segment(keys: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     """Each n-gram's segment, and the order in which they go to the segments."""
     segment = (keys % np.uint64(segments)).astype(np.int64)
-    return segment, np.argsort(segment, kind="stable")
+    short = segment.astype(np.uint16) if segments <= 1 << 16 else segment  # sorted faster
+    return segment, np.argsort(short, kind="stable")
 
 
 def _asked(segments: int):

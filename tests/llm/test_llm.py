@@ -119,6 +119,26 @@ def test_lm_is_the_smoothed_model_of_the_exact_counts(spark):
         assert r.score == pytest.approx(np.log10(exact).sum(), rel=0.02)
 
 
+def test_lm_does_not_probe_again_for_n_grams_of_earlier_chunks(spark, monkeypatch):
+    texts = [(f"w{i % 300} v{i % 7} " * 3) for i in range(900)]
+    model = bloomlm.learn(spark.createDataFrame([(t,) for t in texts], "text string"), 6300, 308)
+    asked, probe = [], bloomlm.probe
+    monkeypatch.setattr(bloomlm, "probe", lambda *a: asked.append(len(a[2])) or probe(*a))
+    monkeypatch.setattr(bloomlm, "RUN", 100)
+    chunks = [bloomlm.tokens([t.encode() for t in part])
+              for part in (texts[:200], texts[100:500], ["w1 new words", *texts[:900]])]
+    fresh = [bloomlm.Model(model.n, model.v, model.rate, model.probes, model.segments).log10(*c)
+             for c in chunks]
+    before, asked[:] = sum(asked), []
+    assert all((model.log10(*c) == f).all() for c, f in zip(chunks, fresh))
+    assert 0 < sum(asked) < 0.6 * before
+    monkeypatch.setattr(bloomlm, "REMEMBERED", 50)
+    few = bloomlm.Model(model.n, model.v, model.rate, model.probes, model.segments)
+    assert all((few.log10(*c) == f).all() for c, f in zip(chunks, fresh))
+    assert all(len(keys) <= 50 and (np.diff(keys.astype(object)) > 0).all()
+               for keys, _ in few.remembered.values())
+
+
 def test_lm_scores_are_the_same_by_a_filter_that_is_not_broadcast(spark, monkeypatch):
     texts = TEXTS + sentences(3, 60) + [" ".join(f"w{i}x{k}" for k in range(80)) for i in range(20)]
     df = table(spark, texts, extra=False).repartition(3)
