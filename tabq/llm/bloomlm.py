@@ -49,7 +49,7 @@ OCTAVES = 40
 PARTS = {1: 32, 2: 4}  # of an octave, at most; by order. Sums over many pairs need no finer ones
 CHUNK = 6 << 20  # bytes of text worked on at once
 RUN = 1 << 15  # n-grams that are probed together
-REMEMBERED = 1 << 19  # n-grams of each order
+REMEMBERED = 1 << 18  # n-grams of each order
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
