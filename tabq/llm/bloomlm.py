@@ -14,9 +14,11 @@ to one. The number of probes grows with log2 V, which keeps E below M.
 
 The filter has BITS bits for each training token and probe, in segments that are built where the n-grams
 of a segment meet; so it grows with the corpus, and each task holds one segment. All n-grams enter, at
-every size. Up to MOST_BYTES the filter is broadcast. A larger one stays a table in the shared folder:
-the distinct n-grams of each chunk of texts go to the segments they fall in, are probed there, and
-their levels come back to the chunk. Both ways give the same scores.
+every size. Up to MOST_BYTES the filter is broadcast, which puts it on the disks of the driver and of every
+executor. A larger one is never put together: the distinct n-grams of each chunk of texts go once, with
+their training counts, to the segments they fall in, which are built, probed for them and dropped; their
+levels come back to the chunk. Both ways give the same scores. Segments that are neighbours are built by
+one task, up to BLOCK of them, so that what a chunk sends to a task stays worth packing.
 
 The base score needs exact counts. Words whose count is at least tokens / HEAVY, which are at most
 HEAVY, are broadcast; the others meet their counts in a join, where none of them can be hot.
@@ -28,6 +30,7 @@ Rows that share a doc_id get a row each, an empty table none. Other columns are
 from __future__ import annotations
 
 import math
+import struct
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -42,7 +45,8 @@ from tabq.llm.common import checkpoint, column_bytes, folded_words, hashes, mix,
 BITS = 1.45
 FEWEST_PROBES = 4
 SEGMENT = 1 << 22  # bits
-MOST_BYTES = 256 << 20
+MOST_BYTES = 32 << 20
+BLOCK = 32  # segments, at most
 HEAVY = 1 << 22
 PRIOR = 2000.0  # M
 OCTAVES = 40
@@ -163,28 +167,32 @@ def values(order: int) -> np.ndarray:
     return np.where(octave > 0, low + part * width + (width - 1) / 2, 0.0)
 
 
+def _enter(bits: np.ndarray, keys: np.ndarray, n: np.ndarray, order: int, probes: int) -> None:
+    """Enter a segment's distinct n-grams, which occur n times."""
+    def enter(keys, step):
+        at, next_ = places(mixed_keys(keys, order, step))
+        for _ in range(probes):
+            bits[at & (SEGMENT - 1)] = True
+            at += next_
+
+    octave, part = codes(n, order)
+    for j in range(1, int(octave.max(initial=0)) + 1):
+        enter(keys[octave >= j], j * PARTS[order])
+    for k in range(1, int(part.max(initial=0)) + 1):
+        far = part >= k
+        enter(keys[far], octave[far] * PARTS[order] + k)
+
+
 def _segment(probes: int):
     """A segment's bits and its share of false positives."""
     def run(key, table):
         bits = np.zeros(SEGMENT, bool)
-
-        def enter(keys, order, step):
-            at, next_ = places(mixed_keys(keys, order, step))
-            for _ in range(probes):
-                bits[at & (SEGMENT - 1)] = True
-                at += next_
-
         for order in (1, 2):
             own = table.filter(pc.equal(table.column("ord"), order))
             all_ = np.frombuffer(b"".join(own.column("keys").to_pylist()), "<u4")
             n = np.frombuffer(b"".join(own.column("counts").to_pylist()), "<u4")
             keys, at = np.unique(all_, return_inverse=True)
-            octave, part = codes(np.bincount(at, n, len(keys)), order)
-            for j in range(1, int(octave.max(initial=0)) + 1):
-                enter(keys[octave >= j], order, j * PARTS[order])
-            for k in range(1, int(part.max(initial=0)) + 1):
-                far = part >= k
-                enter(keys[far], order, octave[far] * PARTS[order] + k)
+            _enter(bits, keys, np.bincount(at, n, len(keys)), order, probes)
         return pa.table({"grp": pa.array([key[0].as_py()], pa.int32()),
                          "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
                          "rate": pa.array([bits.mean() ** probes])})
@@ -381,28 +389,73 @@ def _light(heavy):
 # --- scoring by a filter that is not broadcast ---
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Small numbers, compressed: first all lowest bytes, then the next ones."""
+    width = max(1, -(-int(x.max(initial=0)).bit_length() // 8))
+    planes = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return struct.pack("<IB", len(x), width) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n, width = struct.unpack_from("<IB", data)
+    planes = np.frombuffer(pa.decompress(data[5:], n * width, codec="zstd"), np.uint8)
+    x = np.zeros((n, 8), np.uint8)
+    x[:, :width] = planes.reshape(width, n).T
+    return x.view("<u8")[:, 0].astype(np.int64)
+
+
+def packed_sorted(x: np.ndarray) -> bytes:
+    """Sorted numbers in about log2(range / number) + 2 bits each: of each its low bits, and a bit row
+    with a mark for each number, as far on as its high bits say."""
+    n, low = len(x), max(0, int(x[-1]).bit_length() - len(x).bit_length()) if len(x) else 0
+    marks = np.zeros(int(x[-1] >> np.uint64(low)) + n if n else 0, bool)
+    marks[(x >> np.uint64(low)).astype(np.int64) + np.arange(n)] = True
+    bits = np.unpackbits(x.astype("<u8").view(np.uint8).reshape(n, 8), axis=1, count=low,
+                         bitorder="little") if low else np.empty(0, np.uint8)
+    return (struct.pack("<IB", n, low) + np.packbits(bits, bitorder="little").tobytes()
+            + np.packbits(marks, bitorder="little").tobytes())
+
+
+def unpacked_sorted(data: bytes) -> np.ndarray:
+    n, low = struct.unpack_from("<IB", data)
+    edge = 5 + -(-n * low // 8)
+    bits = np.zeros((n, 64), np.uint8)
+    bits[:, :low] = np.unpackbits(np.frombuffer(data[5:edge], np.uint8), count=n * low,
+                                  bitorder="little").reshape(n, low)
+    marks = np.unpackbits(np.frombuffer(data[edge:], np.uint8), bitorder="little")
+    high = (np.flatnonzero(marks) - np.arange(n)).astype(np.uint64)
+    return np.packbits(bits, axis=1, bitorder="little").view("<u8")[:, 0] | high << np.uint64(low)
+
+
 def _stored_chunks(batches):
-    """Each chunk of texts as one row: its texts' columns as lists, its distinct words, and which
-    word each token is."""
+    """Each chunk of texts as one row: its texts' columns as lists, its distinct words, those of an
+    octave of counts together and the frequent ones first, and which word each token is."""
     number = TaskContext.get().partitionId() << 40
     for batch in batches:
         for a, b, texts in _chunks(batch):
             all_, sizes = tokens(texts)
-            words, at = np.unique(all_, return_inverse=True)
+            words, at, n = np.unique(all_, return_inverse=True, return_counts=True)
+            octave = np.frexp(n)[1]
+            order = np.argsort(-octave, kind="stable")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            edges = np.append(np.flatnonzero(np.diff(octave[order], prepend=-1)), len(order))
             own = [pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), x) for x in (
                 *(batch.column(c).slice(a, b - a) for c in ("row", "doc_id", "held_out")),
                 pa.array(sizes.astype(np.int64)))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([number]), *own, pa.array([words.tobytes()], pa.binary()),
-                 pa.array([at.astype("<u4").tobytes()], pa.binary())],
+                [pa.array([number]), *own,
+                 pa.array([[packed_sorted(words[order[s:e]]) for s, e in zip(edges, edges[1:])]],
+                          pa.list_(pa.binary())),
+                 pa.array([packed(rank[at])], pa.binary())],
                 names=["chunk", "row", "doc_id", "held_out", "sizes", "words", "at"])
             number += 1
 
 
 def _tokens_of(batch, i: int) -> tuple[np.ndarray, np.ndarray]:
     """The tokens of the i-th chunk and the number of each text's."""
-    words = np.frombuffer(batch.column("words")[i].as_py(), np.uint64)
-    return (words[np.frombuffer(batch.column("at")[i].as_py(), "<u4")],
+    words = np.concatenate([unpacked_sorted(x) for x in batch.column("words")[i].as_py()])
+    return (words[unpacked(batch.column("at")[i].as_py())],
             np.array(batch.column("sizes")[i].as_py(), np.int64))
 
 
@@ -423,45 +476,94 @@ def _by_segment(keys: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray
     return segment, np.argsort(short, kind="stable")
 
 
-def _asked(segments: int):
-    """The distinct n-grams of each chunk, as one row for each order and segment."""
+def _sent(segments: int, block: int, places: int):
+    """The distinct n-grams of each chunk and their training counts, as one row for each order and block
+    of segments. They go to the chunk's own place, which answers; those of training texts to all."""
     def run(batches):
         for batch in batches:
             for i, chunk in enumerate(batch.column("chunk").to_pylist()):
                 all_, sizes = _tokens_of(batch, i)
+                train = ~np.array(batch.column("held_out")[i].as_py(), bool)
+                home = int(mix(np.array([chunk], np.uint64))[0] % np.uint64(places))
                 for order in (1, 2):
-                    keys, _ = _grams(all_, sizes, order)
-                    segment, place = _by_segment(keys, segments)
-                    short, segment = short_keys(keys[place], order), segment[place]
-                    edges = np.append(np.flatnonzero(np.diff(segment, prepend=-1)), len(segment))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(edges) - 1, chunk)),
-                         pa.array(segment[edges[:-1]].astype(np.int32)),
-                         pa.array(np.full(len(edges) - 1, order, np.int32)),
-                         pa.array([short[s:e].tobytes() for s, e in zip(edges, edges[1:])],
-                                  pa.binary())], names=["chunk", "grp", "ord", "keys"])
+                    keys, at = _grams(all_, sizes, order)
+                    n = np.bincount(at[:len(all_)], np.repeat(train, sizes), len(keys)).astype(np.int64)
+                    if order == 1:
+                        n[at[len(all_)]] += np.count_nonzero(train)  # the first history is START
+                    segment, to = _by_segment(keys, segments)
+                    yield _sent_rows(chunk, home, True, order, keys[to], segment[to], n[to], block)
+                    to = to[n[to] > 0]
+                    for place in range(places):
+                        if place != home and len(to):
+                            yield _sent_rows(chunk, place, False, order, keys[to], segment[to], n[to], block)
+    return run
+
+
+def _sent_rows(chunk: int, place: int, asks: bool, order: int, keys: np.ndarray, segment: np.ndarray,
+               n: np.ndarray, block: int) -> pa.RecordBatch:
+    grp, inner = np.divmod(segment, block)
+    short = inner.astype(np.uint64) << np.uint64(32) | keys >> np.uint64(32)
+    edges = np.append(np.flatnonzero(np.diff(grp, prepend=-1)), len(grp))
+    rows = list(zip(edges, edges[1:]))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(rows), chunk)), pa.array(grp[edges[:-1]].astype(np.int32)),
+         pa.array(np.full(len(rows), place)), pa.array(np.full(len(rows), asks)),
+         pa.array(np.full(len(rows), order, np.int32)),
+         pa.array([packed_sorted(short[s:e]) for s, e in rows], pa.binary()),
+         pa.array([packed(n[s:e]) for s, e in rows], pa.binary())],
+        names=["chunk", "grp", "place", "asks", "ord", "keys", "counts"])
+
+
+def _answered(block: int, probes: int):
+    """Build a block's segments one by one and look up the n-grams that chunks ask for. One more row
+    has the segments' shares of false positives, added up."""
+    def run(key, table):
+        grp, place = (k.as_py() for k in key)
+        own = {order: _Sent(table.filter(pc.equal(table.column("ord"), order)), order, block)
+               for order in (1, 2)}
+        rate = 0.0
+        for s in range(block):
+            bits, grams = np.zeros(SEGMENT, bool), {}
+            for order, sent in own.items():
+                at = sent.by_segment[sent.edges[s]:sent.edges[s + 1]]
+                keys, which = np.unique(sent.short[at], return_inverse=True)
+                n = np.bincount(which, sent.n[at], len(keys))
+                _enter(bits, keys[n > 0], n[n > 0], order, probes)
+                grams[order] = at, keys, which
+            rate += bits.mean() ** probes
+            flat = np.packbits(bits, bitorder="little")
+            for order, (at, keys, which) in grams.items():
+                code = probe(flat, np.zeros(len(keys), np.int64), keys, order, probes)
+                own[order].levels[at] = code[which]
+        rates = pa.table({"chunk": pa.array([None], pa.int64()), "grp": pa.array([grp], pa.int32()),
+                          "ord": pa.array([0], pa.int32()), "levels": pa.array([None], pa.binary()),
+                          "rate": pa.array([rate if place == 0 else 0.0])})
+        return pa.concat_tables([rates, *(sent.answers() for sent in own.values())])
     return run
 
 
-def _answered(probes: int):
-    """The levels of the n-grams that chunks ask a segment for."""
-    return lambda key, asked, segment: _answer(asked, segment, probes)
+class _Sent:
+    """The n-grams of an order that are sent to a block, and their levels."""
 
+    def __init__(self, rows: pa.Table, order: int, block: int):
+        self.rows = rows
+        keys = [unpacked_sorted(x) for x in rows.column("keys").to_pylist()]
+        self.ends = np.cumsum([0, *map(len, keys)])
+        keys = np.concatenate([np.empty(0, np.uint64), *keys])
+        self.short = short_keys(keys << np.uint64(32), order)
+        self.n = np.concatenate([np.empty(0, np.uint32), *(
+            unpacked(x).astype(np.uint32) for x in rows.column("counts").to_pylist())])
+        segment = (keys >> np.uint64(32)).astype(np.uint8)
+        self.by_segment = np.argsort(segment, kind="stable")
+        self.edges = np.cumsum([0, *np.bincount(segment, minlength=block)])
+        self.levels = np.empty(len(keys), np.uint16)
 
-def _answer(asked, segment, probes: int):
-    names = ["chunk", "grp", "ord", "levels"]
-    if asked.num_rows == 0:
-        return pa.table({c: pa.array([], t) for c, t in zip(
-            names, (pa.int64(), pa.int32(), pa.int32(), pa.binary()))})
-    bits = segment.column("bits").to_pylist()  # none where no training n-gram fell
-    flat = np.frombuffer(bits[0], np.uint8) if bits else np.zeros(SEGMENT // 8, np.uint8)
-    levels = []
-    for order, keys in zip(asked.column("ord").to_pylist(), asked.column("keys").to_pylist()):
-        short = np.frombuffer(keys, np.uint32)
-        levels.append(probe(flat, np.zeros(len(short), np.int64), short, order, probes)
-                      .astype("<u2").tobytes())
-    return asked.select(["chunk", "grp", "ord"]).append_column(
-        "levels", pa.array(levels, pa.binary()))
+    def answers(self) -> pa.Table:
+        levels = [packed(self.levels[s:e]) if asks else None for s, e, asks in zip(
+            self.ends, self.ends[1:], self.rows.column("asks").to_pylist())]
+        return self.rows.select(["chunk", "grp", "ord"]).append_column(
+            "levels", pa.array(levels, pa.binary())).append_column(
+            "rate", pa.nulls(len(levels), pa.float64())).filter(self.rows.column("asks"))
 
 
 def _chunk_scores(smoothing: Smoothing, segments: int, heavy):
@@ -473,8 +575,8 @@ def _chunk_scores(smoothing: Smoothing, segments: int, heavy):
             keys, at = _grams(all_, sizes, order)
             own = answers.filter(pc.equal(answers.column("ord"), order)).sort_by("grp")
             found = np.empty(len(keys), np.int64)
-            found[_by_segment(keys, segments)[1]] = np.frombuffer(
-                b"".join(own.column("levels").to_pylist()), "<u2")
+            found[_by_segment(keys, segments)[1]] = np.concatenate(
+                [unpacked(x) for x in own.column("levels").to_pylist()])
             levels.append(found[at])
         first = np.cumsum(sizes) - sizes
         own = [pc.list_flatten(chunk.column(c)) for c in ("row", "doc_id", "held_out", "sizes")]
@@ -494,22 +596,20 @@ def _light_chunks(heavy):
 def _score_by_table(rows: DataFrame, kind: str, segments: int, n: int, v: int, total: int, heavy,
                     fields: str) -> tuple[DataFrame, DataFrame]:
     """What `_scores` and `_light` give, with a filter of any size."""
-    probes = probes_of(v)
-    filter_ = stored(build(rows.where(~F.col("held_out")), segments, probes))
-    rate = filter_.agg(F.coalesce(F.sum("rate"), F.lit(0.0))).first()[0] / segments
+    probes, block = probes_of(v), min(BLOCK, max(1, segments // 64))
     # stored: chunks and row numbers depend on how the files are split
     chunks = stored(rows.mapInArrow(
         _stored_chunks, f"chunk long, row array<long>, doc_id array<{kind}>, held_out array<boolean>, "
-        "sizes array<long>, words binary, at binary"))
-    asked = chunks.select("chunk", "sizes", "words", "at").mapInArrow(
-        _asked(segments), "chunk long, grp int, ord int, keys binary")
-    # with few training texts among many, a segment is asked in several places
+        "sizes array<long>, words array<binary>, at binary"))
+    # with few training texts among many, a segment is built and asked in several places
     places = max(1, total // max(1, 2 * n))
-    asked = asked.withColumn("place", F.pmod(F.xxhash64("chunk"), F.lit(places)))
-    bits = filter_.select("grp", "bits", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.lit(places - 1).cast("long"))).alias("place"))
-    answers = asked.groupBy("grp", "place").cogroup(bits.groupBy("grp", "place")).applyInArrow(
-        _answered(probes), "chunk long, grp int, ord int, levels binary")
+    answers = stored(chunks.select("chunk", "held_out", "sizes", "words", "at").mapInArrow(
+        _sent(segments, block, places),
+        "chunk long, grp int, place long, asks boolean, ord int, keys binary, counts binary").groupBy(
+        "grp", "place").applyInArrow(
+        _answered(block, probes), "chunk long, grp int, ord int, levels binary, rate double"))
+    rate = answers.agg(F.coalesce(F.sum("rate"), F.lit(0.0))).first()[0] / segments
+    answers = answers.where(F.col("chunk").isNotNull()).drop("rate")
     scored = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         _chunk_scores(Smoothing(n, v, rate), segments, heavy), fields)
     return scored, chunks.select("row", "sizes", "words", "at").mapInArrow(

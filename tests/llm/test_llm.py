@@ -3,6 +3,7 @@ columns, and comparisons with brute force."""
 
 import hashlib
 import itertools
+import os
 import random
 import re
 import zlib
@@ -157,6 +158,54 @@ def test_lm_scores_are_the_same_by_a_filter_that_is_not_broadcast(spark, monkeyp
             assert x[:5] == y[:5] and x[5:] == pytest.approx(y[5:], rel=1e-12)
 
 
+def test_lm_few_training_texts_and_many_segments_give_the_same_scores(spark, monkeypatch):
+    texts = TEXTS + sentences(3, 60) + [" ".join(f"w{i}x{k}" for k in range(80)) for i in range(20)]
+    df = table(spark, texts, extra=False).repartition(3)
+    held_out = F.col("doc_id") % 10 != 3  # so a segment is built in several places
+
+    def scores():
+        return sorted((tuple(r) for r in bloomlm.score(df, held_out).collect()),
+                      key=lambda r: (r[0], r[2]))
+
+    n = scores()[0][4]
+    monkeypatch.setattr(bloomlm, "BITS", 150 * bloomlm.SEGMENT / (n * bloomlm.FEWEST_PROBES))
+    monkeypatch.setattr(bloomlm, "MOST_BYTES", 256 << 20)
+    broadcast = scores()
+    assert bloomlm.segments_of(n) // 64 > 1 and sum(r[2] for r in broadcast) > 4 * n
+    monkeypatch.setattr(bloomlm, "MOST_BYTES", 0)
+    for x, y in zip(scores(), broadcast, strict=True):
+        assert x[:5] == y[:5] and x[5:] == pytest.approx(y[5:], rel=1e-12)
+
+
+def test_lm_a_filter_that_is_not_broadcast_takes_little_disk(spark, monkeypatch):
+    rng = random.Random(7)
+    words = [f"word{i}" for i in range(5000)]
+    weights = [1 / (i + 1) for i in range(5000)]
+    texts = [" ".join(rng.choices(words, weights, k=500)) for _ in range(400)]
+    df, folders, stored = table(spark, texts, extra=False), [], bloomlm.stored
+
+    def kept(df):
+        df = stored(df)
+        folders.extend(df.inputFiles())
+        return df
+
+    monkeypatch.setattr(bloomlm, "stored", kept)
+    monkeypatch.setattr(bloomlm, "MOST_BYTES", 0)
+    bloomlm.score(df, fold("doc_id", 5) == 1).count()
+    size = sum(os.path.getsize(f.removeprefix("file:").replace("///", "/")) for f in folders)
+    assert 0 < size < 3 * 200_000  # bytes a token; of 4 before that are which word it is, and the filter
+
+
+@pytest.mark.parametrize("top", [1, 9, 2 ** 35, 2 ** 64 - 1])
+def test_lm_packed_numbers_come_back(top):
+    for n in (0, 1, 2, 1000):
+        x = np.sort(np.random.default_rng(n).integers(0, top, n, np.uint64, endpoint=True))
+        assert (bloomlm.unpacked_sorted(bloomlm.packed_sorted(x)) == x).all()
+        small = (x % np.uint64(70_000)).astype(np.int64)
+        assert (bloomlm.unpacked(bloomlm.packed(small)) == small).all()
+        assert len(bloomlm.packed_sorted(x)) <= 5 + 2 + n * (2 + max(0, np.log2(top / max(1, n))) + 1) / 8
+
+
 # 2 chat ---------------------------------------------------------------------------------------------
 
 
