@@ -40,7 +40,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabq.llm.common import checkpoint, column_bytes, folded_words, hashes, mix, numbered, runs, small_batches, stored
+from tabq.llm.common import (
+    bucketed, column_bytes, folded_words, hashes, mix, numbered, runs, small_batches, stored)
 
 BITS = 1.45
 FEWEST_PROBES = 4
@@ -597,10 +598,10 @@ def _score_by_table(rows: DataFrame, kind: str, segments: int, n: int, v: int, t
                     fields: str) -> tuple[DataFrame, DataFrame]:
     """What `_scores` and `_light` give, with a filter of any size."""
     probes, block = probes_of(v), min(BLOCK, max(1, segments // 64))
-    # stored: chunks and row numbers depend on how the files are split
-    chunks = stored(rows.mapInArrow(
+    # stored: chunks and row numbers depend on how the files are split. By chunk, so that levels go to them
+    chunks = bucketed(rows.mapInArrow(
         _stored_chunks, f"chunk long, row array<long>, doc_id array<{kind}>, held_out array<boolean>, "
-        "sizes array<long>, words array<binary>, at binary"))
+        "sizes array<long>, words array<binary>, at binary"), "chunk")
     # with few training texts among many, a segment is built and asked in several places
     places = max(1, total // max(1, 2 * n))
     answers = stored(chunks.select("chunk", "held_out", "sizes", "words", "at").mapInArrow(
@@ -622,7 +623,7 @@ def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text")
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
                        F.col(text).alias("text"))
     rows = numbered(docs, "row")  # it is read twice
-    vocabulary = checkpoint(rows.select("text", (~F.col("held_out")).alias("train")).mapInArrow(
+    vocabulary = stored(rows.select("text", (~F.col("held_out")).alias("train")).mapInArrow(
         _words, "h long, c long, total long").groupBy("h").agg(
         F.sum("c").alias("c"), F.sum("total").alias("total")))
     n, v, total = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0),

@@ -54,6 +54,17 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """df, stored in buckets by a key, so that later work on the key leaves it where it is. Only its files
+    stay: the table that names them for the time of writing is dropped."""
+    spark, name = df.sparkSession, f"bucketed_{uuid.uuid4().hex}"
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option(
+        "path", f"{shared_folder(spark)}/{name}").saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def numbered(df: DataFrame, row: str) -> DataFrame:
     """df with a number of its own for each row in the column `row`, the same at every read.
 
