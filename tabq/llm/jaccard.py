@@ -312,22 +312,27 @@ def _links(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) of every node that reaches a smaller one; root is the smallest. Alternates stars
-    around smallest neighbours until nothing changes."""
-    edges = checkpoint(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-                       .where("u <> v").distinct())
-    before = None
-    while True:
-        state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = state
+    around smallest neighbours until only stars around roots are left. The driver keeps a record of every
+    task, so a round has few shuffles: edges are stored, as empty parts of a checkpoint are tasks too."""
+    edges = stored(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+                   .where("u <> v").distinct())
+    while not _stars(edges):
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        wide = both.join(least, "u").where("v > u").select(
-            F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        wide = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = wide.groupBy("u").agg(F.min("v").alias("m"))
-        edges = checkpoint(wide.join(least, "u").where("v <> m").select(
-            F.col("v").alias("u"), F.col("m").alias("v")).union(least).distinct())
+        edges = stored(wide.join(least, "u").select(
+            F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
+            F.col("m").alias("v")).distinct())
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Has every node with a smaller neighbour v one only, that has none itself?"""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    return not ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where(
+        "up + down > 1 and up > 0").agg(F.count("*")).first()[0]
 
 
 def _known(roots: DataFrame) -> DataFrame:
@@ -420,7 +425,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     # all texts that can be compared, now or below
     texts = stored(docs.select("text").mapInArrow(
         _texts(_filter(members.select("node"))), "node long, text binary"))
-    roots = components(checkpoint(_links(texts, pairs)))
+    roots = components(_links(texts, pairs))
 
     # Once more in buckets that hold several components. Around the set that meets the most others:
     # copies that were changed in different places may be similar to their origin only. And around two
@@ -442,7 +447,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     more = stored(_close(_possible(starred.where("root <> root2")).join(
         pairs, ["a", "b"], "left_anti"), bits))
     pairs = pairs.union(more)
-    roots = components(_known(roots).union(checkpoint(_links(texts, more))))
+    roots = components(_known(roots).union(_links(texts, more)))
 
     # all pairs of one bucket that the stars left in different components
     mixed = stored(_mixed(mixed.drop("root"), roots).join(bits.drop("n"), "node"))
@@ -452,7 +457,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         *(F.col(f"two.{c}").alias(c + "2") for c in mixed.columns))
     found = met.where((F.col("root") < F.col("root2")) & _may_link() & _near("2"))
     rest = stored(_possible(found).join(pairs, ["a", "b"], "left_anti"))
-    roots = components(_known(roots).union(checkpoint(_links(texts, rest))))
+    roots = components(_known(roots).union(_links(texts, rest)))
 
     named = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(
         roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
