@@ -10,7 +10,7 @@ SETTINGS = {
     # Rule sets make wide projections. The JVM never compiles methods above 8000 bytes of code, so
     # a stage with such a method is better run without whole-stage code generation.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # The driver keeps the text of every plan; with a model's numbers in it one has megabytes.
+    # The driver keeps the text of every plan; one with a model's numbers in it is over a megabyte.
     "spark.sql.maxPlanStringLength": "100000",
 }
 
